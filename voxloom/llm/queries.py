@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontamination
+from . import decontamination, token_files
 
 
 def queries() -> dict:
     return {
         "op7_benchmark_decontamination": decontamination.op7_benchmark_decontamination,
+        "op9_token_id_files": token_files.op9_token_id_files,
     }
 
 
