@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontamination, token_files
+from . import decontamination, sentencepiece_backend, shard_tree, token_files, url_filter
 
 
 def queries() -> dict:
     return {
+        "op1_url_redirect_equivalence": url_filter.op1_url_redirect_equivalence,
+        "op2_sharding_hash_tree": shard_tree.op2_sharding_hash_tree,
+        "op3_sentencepiece": sentencepiece_backend.op3_sentencepiece,
         "op7_benchmark_decontamination": decontamination.op7_benchmark_decontamination,
         "op9_token_id_files": token_files.op9_token_id_files,
     }
@@ -14,5 +17,6 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_url_redirect_equivalence": url_filter.OP1_SQL,
         "op7_benchmark_decontamination": decontamination.OP7_SQL,
     }
