@@ -82,3 +82,20 @@ def join_small(big: DataFrame, small: DataFrame, on: str | list[str], how: str,
     from pyspark.sql import functions as F
 
     return big.join(F.broadcast(small) if rows <= limit else small.hint("merge"), on, how)
+
+
+def sample_rows(rows: DataFrame, key: str, size: int) -> DataFrame:
+    """About ``size`` rows, those with the smallest hashed key; only keys are read to find them."""
+    from pyspark.sql import functions as F
+
+    h = F.xxhash64(key)
+    least = [r[0] for r in rows.select(h.alias("h")).orderBy("h").limit(size).collect()]
+    return rows.where(h <= (least[-1] if least else 0))
+
+
+def sample_texts(rows: DataFrame, key: str, text: str, size: int, longest: int) -> list[str]:
+    """Texts of at most ``longest`` bytes of about ``size`` sampled rows, in order of hashed key; ``size`` at most."""
+    from pyspark.sql import functions as F
+
+    found = sample_rows(rows, key, size).where(F.octet_length(text) <= longest).select(F.xxhash64(key).alias("h"), F.col(text).alias("t")).limit(size).collect()
+    return [r.t for r in sorted(found, key=lambda r: (r.h, r.t))]

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialise, scratch, ship, shuffle_partitions, table
+from .common import materialise, sample_texts, scratch, ship, shuffle_partitions, table
 from .word_cache import by_space
 
 MAGIC, VERSION = b"VXTF", 1
@@ -166,8 +166,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, end_id:
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     cache, dtype = encoder(tokenizer_file)
     end = np.array([end_id], dtype).tobytes()
-    sample = rows.where(F.octet_length("text") <= SAMPLE_BYTES).select(F.xxhash64("id").alias("h"), "text").orderBy("h", "text").limit(SAMPLE)
-    dictionary = train_dictionary([x + end for x in cache.encode([r.text for r in sample.collect()])])
+    dictionary = train_dictionary([x + end for x in cache.encode(sample_texts(rows, "id", "text", SAMPLE, SAMPLE_BYTES))])
     name = f"{folder}/{hashlib.sha256(dictionary).hexdigest()}.zdict"
     write_bytes(name, dictionary)
 
