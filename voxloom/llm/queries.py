@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, sentencepiece_backend, shard_tree, token_files, url_filter
+from . import decontamination, language_id, sentencepiece_backend, shard_tree, token_files, url_filter, warc
 
 
 def queries() -> dict:
@@ -10,6 +10,8 @@ def queries() -> dict:
         "op1_url_redirect_equivalence": url_filter.op1_url_redirect_equivalence,
         "op2_sharding_hash_tree": shard_tree.op2_sharding_hash_tree,
         "op3_sentencepiece": sentencepiece_backend.op3_sentencepiece,
+        "op5_warc_transactions": warc.op5_warc_transactions,
+        "op6_language_id": language_id.op6_language_id,
         "op7_benchmark_decontamination": decontamination.op7_benchmark_decontamination,
         "op9_token_id_files": token_files.op9_token_id_files,
     }
@@ -18,5 +20,6 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_redirect_equivalence": url_filter.OP1_SQL,
+        "op5_warc_transactions": warc.OP5_SQL,
         "op7_benchmark_decontamination": decontamination.OP7_SQL,
     }
