@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, language_id, sentencepiece_backend, shard_tree, token_files, url_filter, warc
+from . import decontamination, language_id, ngram_jaccard, sentencepiece_backend, shard_tree, token_files, url_filter, warc
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op5_warc_transactions": warc.op5_warc_transactions,
         "op6_language_id": language_id.op6_language_id,
         "op7_benchmark_decontamination": decontamination.op7_benchmark_decontamination,
+        "op8_ngram_jaccard_join": ngram_jaccard.op8_ngram_jaccard_join,
         "op9_token_id_files": token_files.op9_token_id_files,
     }
 
@@ -22,4 +23,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_url_redirect_equivalence": url_filter.OP1_SQL,
         "op5_warc_transactions": warc.OP5_SQL,
         "op7_benchmark_decontamination": decontamination.OP7_SQL,
+        "op8_ngram_jaccard_join": ngram_jaccard.OP8_SQL,
     }
