@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, language_id, ngram_jaccard, sentencepiece_backend, shard_tree, token_files, url_filter, warc
+from . import decontamination, language_id, ngram_jaccard, sentencepiece_backend, shard_tree, token_files, toxicity, url_filter, warc
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         "op6_language_id": language_id.op6_language_id,
         "op7_benchmark_decontamination": decontamination.op7_benchmark_decontamination,
         "op8_ngram_jaccard_join": ngram_jaccard.op8_ngram_jaccard_join,
+        "op10_toxicity": toxicity.op10_toxicity,
         "op9_token_id_files": token_files.op9_token_id_files,
     }
 
