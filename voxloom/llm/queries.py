@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, language_id, ngram_jaccard, sentencepiece_backend, shard_tree, token_files, toxicity, url_filter, warc
+from . import decontamination, language_id, ngram_jaccard, sentencepiece_backend, shard_tree, token_files, toxicity, url_filter, warc, weighted_fingerprint
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_url_redirect_equivalence": url_filter.op1_url_redirect_equivalence,
         "op2_sharding_hash_tree": shard_tree.op2_sharding_hash_tree,
         "op3_sentencepiece": sentencepiece_backend.op3_sentencepiece,
+        "op4_weighted_fingerprint": weighted_fingerprint.op4_weighted_fingerprint,
         "op5_warc_transactions": warc.op5_warc_transactions,
         "op6_language_id": language_id.op6_language_id,
         "op7_benchmark_decontamination": decontamination.op7_benchmark_decontamination,
