@@ -8,17 +8,21 @@ segments, and every set is indexed by its segments.
 Allocation by cost. An empty segment has the longest list of all and is allocated 0: it is no key. The others
 are allocated 1: their content is a key. A band has a few segments more than needed, so that a set keeps
 enough segments that aren't empty: of more than the H tokens in which any partner can differ, at least one
-agrees with the partner's. A set that falls short is indexed once more, in a list of its own kind: whole segments, empty ones included,
-and for as many segments as it lacks all neighbourhoods of one deletion (allocated 2). A pair of which neither
-falls short, or only one, meets in the first index; a pair of which both do, in the second.
+agrees with the partner's. A set that falls short is indexed once more, in a list of its own kind: whole
+segments, empty ones included, and for as many segments as it lacks all neighbourhoods of one deletion
+(allocated 2). A pair of which at most one falls short meets in the first index, others in the second.
 
-Keys with up to three sets give all their pairs. Keys with more are hot. Their pairs aren't listed: the set
+Keys with up to ``FEW`` sets give all their pairs. Keys with more are hot. Their pairs aren't listed: the set
 that shares most hot keys becomes the pivot of each key, all others are compared with it, and what is left
 is found among differences. For sets x and y with differences dx and dy from their pivot, the distance of x
 and y is that of dx and dy. So a linked pair of which one isn't linked to the pivot shares a token among the
-first few of its differences (in an order that puts tokens absent from the pivot first, these being rare).
-Such tokens are keys of the next level, where hot keys get a pivot again. A star of n near copies thus costs
-n comparisons, not n². After ``LEVELS`` levels the keys that are still hot give all their pairs.
+first few of its differences, in any fixed order. The order puts tokens first that the pivot lacks, rare ones
+before common ones, then those that only the pivot has, common ones before rare ones, as most sets lack what
+is rare; a count sketch of ``SLOTS`` slots over the sets at hand tells how common a token is. Such tokens
+are keys of the next level. There a pair is listed unless both are linked to the pivot or their parities
+differ too much: the parity of the number of tokens in each of ``PARITY`` slots differs between two sets in at
+most as many slots as the sets differ in tokens. Keys with more than ``CLOSE`` sets get a pivot again, for
+``LEVELS`` levels; then they are listed too. A star of n near copies thus costs n comparisons, not n².
 
 Every pair is verified on its two whole texts. Tokens are 64-bit hashes of word sequences; two different
 shingles share one with probability 2^-64.
@@ -49,11 +53,17 @@ U = np.uint64
 #: Upper end of a size band over its lower end.
 BAND = 1.5
 #: Levels of pivots for hot keys.
-LEVELS = 6
+LEVELS = 3
+#: Sets of one key of later levels up to which pairs are listed under the parity bound.
+CLOSE = 128
+#: Slots of a set's parities; a multiple of 64.
+PARITY = 512
 #: Stands for a null id where texts are fetched.
 NO_ID = -(1 << 63)
 #: Sets of one key up to which all pairs are listed.
-FEW = 3
+FEW = 8
+#: Slots of the token counts that are broadcast.
+SLOTS = 1 << 18
 
 
 class Scheme:
@@ -99,9 +109,8 @@ class Scheme:
         return self._parts[band]
 
     def bands(self, x: int) -> list[int]:
-        """Bands in which a set of size x meets partners at least as large: its own, and the next if it reaches there."""
-        own = self.band(x)
-        return [own, own + 1] if x * self.den // self.num >= self.lows[own + 1] else [own]
+        """Bands in which a set of size x meets partners at least as large: its own and all that it reaches."""
+        return list(range(self.band(x), self.band(x * self.den // self.num) + 1))
 
 
 def signatures(tokens: np.ndarray, scheme: Scheme) -> np.ndarray:
@@ -216,13 +225,10 @@ def several(keyed: DataFrame) -> DataFrame:
 
 
 def few_pairs(shared: DataFrame) -> DataFrame:
-    """(a, b) of all keys with 2 or 3 sets."""
-    some = shared.where(F.col("n") <= FEW).groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.bit_xor("node").alias("x"), F.max("n").alias("n"))
-    mid = F.col("x").bitwiseXOR(F.col("lo")).bitwiseXOR(F.col("hi"))
-    pair = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
-    lo, hi = F.col("lo"), F.col("hi")
-    listed = F.when(F.col("n") == 2, F.array(pair(lo, hi))).otherwise(F.array(pair(lo, hi), pair(lo, mid), pair(mid, hi)))
-    return some.select(F.inline(listed))
+    """(a, b), a < b, of all keys with at most FEW sets."""
+    some = shared.where(F.col("n") <= FEW).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("all"))  # at most FEW each
+    later = lambda x, i: F.transform(F.slice("all", i + 2, FEW), lambda y: F.struct(x.alias("a"), y.alias("b")))
+    return some.select(F.inline(F.flatten(F.transform("all", later))))
 
 
 def star_pairs(hot: DataFrame) -> DataFrame:
@@ -233,10 +239,19 @@ def star_pairs(hot: DataFrame) -> DataFrame:
     return ranked.join(pivot, "key").where("node <> pivot").select("pivot", "node").distinct()
 
 
-def all_pairs(hot: DataFrame) -> DataFrame:
-    """(a, b) of all sets of each key."""
-    other = hot.select("key", F.col("node").alias("b"))
-    return hot.select("key", F.col("node").alias("a")).join(other, "key").where("a < b").select("a", "b").distinct()
+def close_pairs(shared: DataFrame, scheme: Scheme) -> DataFrame:
+    """(a, b), a < b, of each key's sets, without pairs that are both linked to the pivot or whose parities differ in more slots than linked sets can in tokens."""
+    x, y = shared.alias("x"), shared.alias("y")
+    apart = sum((F.bit_count(F.col(f"x.p{i}").bitwiseXOR(F.col(f"y.p{i}"))) for i in range(PARITY // 64)), F.lit(0))
+    may = F.expr(f"({scheme.den - scheme.num} * (x.size + y.size)) div {scheme.den + scheme.num}")
+    found = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & ~(F.col("x.near") & F.col("y.near")) & (apart <= may))
+    return found.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
+def parities(tokens: np.ndarray) -> np.ndarray:
+    """Bits of whether an odd number of tokens is in each slot."""
+    odd = np.bincount((tokens & U(PARITY - 1)).astype(np.int64), minlength=PARITY).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
 
 
 class _Sets:
@@ -257,14 +272,38 @@ class _Sets:
         return s
 
 
-def verify(pairs: DataFrame, texts: DataFrame, k: int, scheme: Scheme) -> DataFrame:
-    """(a, b, linked, diff) of pairs (a, b, star): for stars, the first differences of b from a, as far as they can matter."""
+def token_ranks(texts: DataFrame, k: int) -> np.ndarray:
+    """How common the tokens of each slot are over all sets: 0 up to twice the mean, then one more for each doubling."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for s in sets_of(batch.column("text"), k):
+                counts += np.bincount(_slot(s), minlength=SLOTS) if len(s) > SLOTS // 8 else 0
+                if len(s) <= SLOTS // 8:
+                    np.add.at(counts, _slot(s), 1)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at])], ["slot", "n"])
+
+    summed = texts.select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # at most SLOTS rows
+    counts = np.zeros(SLOTS, np.int64)
+    counts[summed["slot"].to_numpy()] = summed["n"].to_numpy()
+    return np.clip(np.log2(np.maximum(counts, 1) / max(1.0, counts.mean())), 0, 60).astype(np.int64)
+
+
+def _slot(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> U(64 - SLOTS.bit_length() + 1)).astype(np.int64)
+
+
+def verify(pairs: DataFrame, texts: DataFrame, k: int, scheme: Scheme, ranks=None) -> DataFrame:
+    """(a, b, linked, diff, size, parity) of pairs (a, b, star): the last three for stars, of b, diff being its first differences from a, as far as they can matter."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = _Sets(k)
+        rank = None if ranks is None else ranks.value
         for batch in batches:
             a, b, ta, tb, star = (batch.column(c) for c in ("a", "b", "ta", "tb", "star"))
-            linked, diff = [], []
+            linked, diff, size, parity = [], [], [], []
             for i in range(batch.num_rows):
                 na, nb = a[i].as_py(), b[i].as_py()
                 x, y = sets.get(na, ta[i].as_py()), sets.get(nb, tb[i].as_py())
@@ -272,22 +311,32 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, scheme: Scheme) -> DataFr
                 linked.append(scheme.linked(common, len(x), len(y)))
                 if not star[i].as_py():
                     diff.append(None)
+                    size.append(None)
+                    parity.append(None)
                     continue
                 own, gone = np.setdiff1d(y, x, assume_unique=True), np.setdiff1d(x, y, assume_unique=True)
-                diff.append(np.concatenate([own, gone])[: scheme.reach(len(y)) + 1].view(np.int64))
-            yield pa.RecordBatch.from_arrays([a, b, pa.array(linked, pa.bool_()), pa.array(diff, pa.list_(pa.int64()))], ["a", "b", "linked", "diff"])
+                other = np.concatenate([own, gone])
+                rarity = rank[_slot(other)]
+                rarity[len(own) :] = 127 - rarity[len(own) :]
+                order = np.argsort(rarity, kind="stable")
+                diff.append(other[order[: scheme.reach(len(y)) + 1]].view(np.int64))
+                size.append(len(y))
+                parity.append(parities(y))
+            columns = [pa.array(linked, pa.bool_()), pa.array(diff, pa.list_(pa.int64())), pa.array(size, pa.int64()), pa.array(parity, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([a, b, *columns], ["a", "b", "linked", "diff", "size", "parity"])
 
     ta = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
     tb = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
     joined = pairs.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb", "star")
-    return joined.mapInArrow(run, "a long, b long, linked boolean, diff array<long>")
+    return joined.mapInArrow(run, "a long, b long, linked boolean, diff array<long>, size long, parity array<long>")
 
 
 def next_keys(stars: DataFrame) -> DataFrame:
-    """(key, node) of the next level: tokens of first differences, under their pivot, where a set that isn't linked to the pivot has one too."""
-    each = stars.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "linked", F.explode("diff").alias("token"))
-    alone = each.where("NOT linked").groupBy("pivot", "token").agg(F.count(F.lit(1)).alias("alone"))
-    return each.join(alone, ["pivot", "token"]).select(F.xxhash64("pivot", "token").alias("key"), "node")
+    """(key, node, near, size, parities) of the next level: tokens of first differences, under their pivot, where a set that isn't linked to the pivot has one too."""
+    own = [F.col("parity")[i].alias(f"p{i}") for i in range(PARITY // 64)]
+    each = stars.select(F.col("a").alias("pivot"), F.col("b").alias("node"), F.col("linked").alias("near"), "size", *own, F.explode("diff").alias("token"))
+    alone = each.where("NOT near").groupBy("pivot", "token").agg(F.count(F.lit(1)).alias("alone")).drop("alone")
+    return each.join(alone, ["pivot", "token"]).withColumn("key", F.xxhash64("pivot", "token")).drop("pivot", "token")
 
 
 def find_links(docs: DataFrame, sizes: DataFrame, k: int, scheme: Scheme) -> DataFrame:
@@ -296,24 +345,27 @@ def find_links(docs: DataFrame, sizes: DataFrame, k: int, scheme: Scheme) -> Dat
     # one row for each set: the smallest of its ids that isn't null, and the texts under that id that have the set
     one = sizes.where("node IS NOT NULL").groupBy("node").agg(F.coalesce(F.min("id"), F.lit(NO_ID)).alias("id"))
     docs = docs.withColumn("id", F.coalesce("id", F.lit(NO_ID)))
-    links, done = None, None
+    links, done, texts, ranks = None, None, None, None
     shared = materialise(several(index(docs.select("text"), k, scheme)), "ngram-keys")
     for level in range(LEVELS + 1):
-        pairs = few_pairs(shared).select("a", "b", F.lit(False).alias("star"))
-        hot = shared.where(F.col("n") > FEW)
         last = level == LEVELS
-        more = all_pairs(hot).select("a", "b", F.lit(False).alias("star")) if last else star_pairs(hot).select(F.col("pivot").alias("a"), F.col("node").alias("b"), F.lit(True).alias("star"))
-        pairs = pairs.union(more).groupBy("a", "b").agg(F.max("star").alias("star"))
+        limit = F.lit(FEW if level == 0 else CLOSE)
+        listed = few_pairs(shared) if level == 0 else close_pairs(shared if last else shared.where(F.col("n") <= limit), scheme)
+        pairs = listed.select("a", "b", F.lit(False).alias("star"))
+        if not last:
+            stars = star_pairs(shared.where(F.col("n") > limit))
+            pairs = pairs.union(stars.select(F.col("pivot").alias("a"), F.col("node").alias("b"), F.lit(True).alias("star")))
+        pairs = pairs.groupBy("a", "b").agg(F.max("star").alias("star"))
         pairs = materialise(pairs, "ngram-pairs")
         if done is not None:  # a pair that was verified needs no second time, unless as a star
             pairs = pairs.join(done.select("a", "b", F.lit(False).alias("star")), ["a", "b", "star"], "left_anti")
-        need = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(one, "node")
-        need = materialise(need, "ngram-nodes")
-        n = need.count()
-        if not n:
-            break
-        texts = join_small(docs, need, "id", "inner", n).select("node", "text")
-        found = materialise(verify(pairs, _own(texts, k), k, scheme), "ngram-links")
+        if texts is None:  # later levels have no other sets
+            need = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(one, "node")
+            need = materialise(need, "ngram-nodes")
+            n = need.count()
+            texts = materialise(_own(join_small(docs, need, "id", "inner", n).select("node", "text"), k), "ngram-texts")
+            ranks = spark.sparkContext.broadcast(token_ranks(texts, k))
+        found = materialise(verify(pairs, texts, k, scheme, ranks), "ngram-links")
         linked = found.where("linked").select("a", "b")
         links = linked if links is None else links.union(linked)
         now = found.select("a", "b")
