@@ -42,9 +42,12 @@ STANDS_FOR = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i",
 }
-_SIGNS = "".join(re.escape(c) for c in STANDS_FOR)
+#: Signs that also end words or stand between them count only before a letter.
+_WEAK = "!|+("
+_SIGNS = "".join(re.escape(c) for c in STANDS_FOR if c not in _WEAK)
+_SIGN = rf"(?:[{_SIGNS}]|[{re.escape(_WEAK)}](?=[^\W\d_]))"
 #: A token of letters and such signs with both kinds in it and a letter or sign-in-word at its end; a run of three; a string of single letters.
-_MIXED = rf"(?<![^\W_])(?=[^\W\d_]*[{_SIGNS}])(?=[{_SIGNS}]*[^\W\d_])(?:[^\W\d_]|[{_SIGNS}])+"
+_MIXED = rf"(?<![^\W_])(?=[^\W\d_]*{_SIGN})(?={_SIGN}*[^\W\d_])(?:[^\W\d_]|{_SIGN})+"
 _RUN = r"[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*"
 _STRUNG = r"(?<![^\W_])[^\W\d_](?:[ .\-*_]{1,2}[^\W\d_]){2,}(?![^\W_])"
 SUSPICIOUS = re.compile(f"(?P<strung>{_STRUNG})|(?P<run>{_RUN.replace(chr(92) + '1', '(?P=r)').replace('([^', '(?P<r>[^', 1)})|(?P<mixed>{_MIXED})")
