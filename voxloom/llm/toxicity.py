@@ -7,12 +7,12 @@ cost; a run of one letter may stand for one or two; separators of strung-out let
 under a character model (interpolated Kneser-Ney over words, ``char_lm``, learned from all texts) gives the
 likeliest letters. Everything else stays as it is.
 
-Scoring. Features are the words of the restored text and their beginnings of 4 to 6 letters. Features of toxic training
-texts are counted over all of them, then over all clean ones; those that are significantly toxic compete: the
-one that explains most texts not yet explained is taken, again and again, so that words which only share texts
-with a toxic word are left out. The cover uses a bounded sample, ``COVER`` toxic rows with the smallest hashed
-id; counts use every labelled row. A text's evidence is the sum of log odds over its taken features; the
-probability of toxicity with and without evidence is calibrated on the training counts.
+Scoring. Features are the words of the restored text and their beginnings of 4 to 6 letters. They are counted
+over all toxic training texts, then over all clean ones. Words that only copies of a toxic text share would
+look toxic too, so a feature counts as often as it stands between different neighbours. A feature is taken if
+so many of its occurrences are toxic that chance wouldn't do it among all features tested, and few are clean.
+A text's evidence is the sum of log odds over its taken features; the probability of toxicity with and without
+evidence is calibrated on the training rows.
 
 Cases: null and empty texts score as texts without evidence; labels other than 0 and 1 or null aren't learned
 from; a document with several labels is learned once for each; without toxic training rows everything scores
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .char_lm import Models, count_grams, fit
-from .common import join_small, materialise, sample_rows, ship, table
+from .common import join_small, materialise, ship, table
 from .language_id import fold
 
 #: Letters that signs and digits commonly stand for.
@@ -55,9 +56,10 @@ WORD = re.compile(r"[^\W\d_]+")
 #: log2 costs of reading a sign as a letter, of keeping a sign as it is, and of one letter standing for a run.
 AS_LETTER, AS_SIGN, AS_RUN = 1.0, 6.0, 0.5
 
-LEAST, SIGNIFICANT, PRECISION = 4, 4.0, 0.8
-#: Rows of the cover's sample, and features that it can take.
-COVER, MOST_FEATURES = 20_000, 4000
+#: Toxic texts that a candidate is in at least; share of toxic ones among its texts; chance of any false feature.
+LEAST, PRECISION, CHANCE = 4, 0.8, 0.01
+#: Candidates that are broadcast at most; LEAST is doubled until they are no more.
+CANDIDATES = 2_000_000
 BEGINNINGS = (4, 5, 6)
 
 
@@ -134,8 +136,31 @@ class Restorer:
         return "".join(reversed(parts))
 
 
-def words_of(text: str) -> set[str]:
-    return set(WORD.findall(text.lower()))
+#: Three single letters in a row may be a strung-out word.
+_SPACED = re.compile(r"(?<![^\W_])[^\W\d_](?:[.\-*_]?[ .\-*_][^\W\d_]){2}(?![^\W_])").search
+
+
+class Reader:
+    """Words of restored texts. Tokens between white space are restored once and remembered; only texts with
+    letters strung out over several tokens are restored as a whole."""
+
+    def __init__(self, restorer: Restorer):
+        self.restorer, self.known = restorer, {}
+
+    def words(self, text: str | None) -> set[str]:
+        if not text:
+            return set()
+        if _SPACED(text):
+            text = self.restorer.restore(text)
+        known, out = self.known, set()
+        if len(known) > 600_000:
+            known.clear()
+        for token in set(text.split()):
+            found = known.get(token)
+            if found is None:
+                found = known[token] = tuple(WORD.findall(self.restorer.restore(token).lower()))
+            out.update(found)
+        return out
 
 
 def features_of(word: str) -> list[str]:
@@ -164,21 +189,34 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, self.base + self.slope * total))))
 
 
-def _restored(batches: Iterable[pa.RecordBatch], restorer: Restorer) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def _read(batches: Iterable[pa.RecordBatch], restorer: Restorer) -> Iterator[tuple[pa.RecordBatch, list[set[str]]]]:
+    """Each batch with the words of its texts, in small batches."""
+    reader = Reader(restorer)
     for batch in batches:
-        yield batch, [restorer.restore(t) if t else "" for t in batch.column("text").to_pylist()]
+        for i in range(0, batch.num_rows, 500):
+            part = batch.slice(i, 500)
+            yield part, [reader.words(t) for t in part.column("text").to_pylist()]
 
 
 def _frequencies(rows: DataFrame, model, wanted=None) -> DataFrame:
     """(feature, n): in how many texts each feature is; only wanted ones, if given."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, counts = Restorer(model.value), Counter()
+        restorer, counts, of = Restorer(model.value), Counter(), {}
         keep = None if wanted is None else wanted.value
-        for _, texts in _restored(batches, restorer):
-            for t in texts:
-                found = {f for w in words_of(t) for f in features_of(w)}
-                counts.update(found if keep is None else found & keep)
+        for _, texts in _read(batches, restorer):
+            for words in texts:
+                if keep is None:
+                    counts.update({f for w in words for f in features_of(w)})
+                else:
+                    some: set[str] = set()
+                    for w in words:
+                        if w not in of:
+                            if len(of) > 600_000:
+                                of.clear()
+                            of[w] = tuple(f for f in features_of(w) if f in keep)
+                        some.update(of[w])
+                    counts.update(some)
             if len(counts) > 500_000:
                 yield _counted(counts)
                 counts = Counter()
@@ -209,20 +247,20 @@ def train(docs: DataFrame, labels: DataFrame, model: Models, *, doc_id: str = "d
     # candidates: at least LEAST toxic texts; a feature of few letters more costs a string in a broadcast set
     held = t.count()
     least = LEAST
-    while held > 2_000_000:
+    while held > CANDIDATES:
         least *= 2
         t = t.where(F.col("n") >= least)
         held = t.count()
     wanted = spark.sparkContext.broadcast({r[0] for r in t.select("feature").collect()})
     c = materialise(_frequencies(rows.where("y = 0").select("text"), shared, wanted), "clean-features")
     both = t.withColumnRenamed("n", "t").join(c.withColumnRenamed("n", "c"), "feature", "left").select("feature", "t", F.coalesce("c", F.lit(0)).alias("c"))
-    share = (F.col("t") + F.col("c")) / F.lit(toxic + clean)
-    z = (F.col("t") / F.lit(toxic) - F.col("c") / F.lit(max(1, clean))) / F.sqrt(share * (1 - share + 1e-9) * F.lit(1 / toxic + 1 / max(1, clean)))
     precise = (F.col("t") + 0.5) / (F.col("t") + F.col("c") + 1) >= PRECISION
-    found = both.where((z >= SIGNIFICANT) & precise).orderBy(F.desc("t"), "c", "feature").limit(200_000).collect()
-    counts = {r.feature: (r.t, r.c) for r in found}
-    taken = cover(_incidence(rows.where("y = 1"), shared, counts), counts)
-    weights = {f: math.log((counts[f][0] + 0.5) / (toxic + 1)) - math.log((counts[f][1] + 0.5) / (clean + 1)) for f in taken}
+    counts = {r.feature: (r.t, r.c) for r in both.where(precise).collect()}  # of the candidates, bounded above
+    counts = {f: x for f, x in counts.items() if significant(*x, toxic, clean, held)}
+    found = _contexts(rows.where("y = 1"), shared, counts)
+    counts = {r.feature: (r.n, counts[r.feature][1]) for r in found.collect()}
+    counts = {f: (n, c) for f, (n, c) in counts.items() if n >= LEAST and (n + 0.5) / (n + c + 1) >= PRECISION and significant(n, c, toxic, clean, held)}
+    weights = {f: math.log((n + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1)) for f, (n, c) in counts.items()}
     scorer = Scorer(weights)
     evidence = _evidence(rows, shared, spark.sparkContext.broadcast(scorer))
     # probabilities without and with evidence, smoothed; the line in log odds goes through both
@@ -244,41 +282,34 @@ def train(docs: DataFrame, labels: DataFrame, model: Models, *, doc_id: str = "d
     return scorer
 
 
-def _incidence(rows: DataFrame, model, counts: dict) -> list[list[str]]:
-    """Candidate features of each distinct text of the cover's sample."""
-    spark = rows.sparkSession
-    wanted = spark.sparkContext.broadcast(frozenset(counts))
+def significant(n: int, c: int, toxic: int, clean: int, tested: int) -> bool:
+    """Whether n toxic of n + c texts are beyond chance among ``tested`` features: C(n + c, n) p^n stays under CHANCE / tested."""
+    ways = math.lgamma(n + c + 1) - math.lgamma(n + 1) - math.lgamma(c + 1)
+    return ways + n * math.log((toxic + 0.5) / (toxic + clean + 1)) < math.log(CHANCE / max(1, tested))
+
+
+def _contexts(rows: DataFrame, model, counts: dict) -> DataFrame:
+    """(feature, n): between how many different pairs of neighbours each candidate stands in toxic texts."""
+    wanted = rows.sparkSession.sparkContext.broadcast(frozenset(counts))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(model.value)
-        for _, texts in _restored(batches, restorer):
-            found = [sorted({f for w in words_of(t) for f in features_of(w)} & wanted.value) for t in texts]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string()))], ["features"])
-
-    return [r[0] for r in sample_rows(rows, "id", COVER).select("text").mapInArrow(run, "features array<string>").distinct().limit(COVER).collect()]
-
-
-def cover(texts: list[list[str]], counts: dict[str, tuple[int, int]]) -> list[str]:
-    """Features that together explain the texts, each the best for those not explained before: most texts
-    explained, less a penalty for clean texts that have it; at least two."""
-    where = defaultdict(list)
-    for i, fs in enumerate(texts):
-        for f in fs:
-            where[f].append(i)
-    left, open_ = Counter({f: len(v) for f, v in where.items()}), [True] * len(texts)
-    taken = []
-    while left and len(taken) < MOST_FEATURES:
-        best = max(left, key=lambda f: (left[f] - 3 * counts[f][1] * len(texts) / max(1, len(texts) + counts[f][0]), left[f], -len(f), f))
-        if left[best] < 2:
-            break
-        taken.append(best)
-        for i in where[best]:
-            if open_[i]:
-                open_[i] = False
-                for f in texts[i]:
-                    left[f] -= 1
-        left = Counter({f: n for f, n in left.items() if n >= 2})
-    return taken
+        restorer, keep, of = Restorer(model.value), wanted.value, {}
+        for batch in batches:
+            features, contexts = [], []
+            for text in batch.column("text").to_pylist():
+                tokens = ["", *WORD.findall(restorer.restore(text or "").lower()), ""]
+                for before, word, after in zip(tokens, tokens[1:], tokens[2:], strict=False):
+                    if word not in of:
+                        if len(of) > 600_000:
+                            of.clear()
+                        of[word] = tuple(f for f in features_of(word) if f in keep)
+                    for f in of[word]:
+                        features.append(f)
+                        contexts.append(zlib.crc32(f"{before} {after}".encode()))
+            yield pa.RecordBatch.from_arrays([pa.array(features, pa.string()), pa.array(contexts, pa.int64())], ["feature", "context"])
+
+    each = rows.select("text").mapInArrow(run, "feature string, context long")
+    return each.distinct().groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _evidence(rows: DataFrame, model, scorer) -> DataFrame:
@@ -286,10 +317,9 @@ def _evidence(rows: DataFrame, model, scorer) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer, own, known = Restorer(model.value), scorer.value, {}
-        for batch, texts in _restored(batches, restorer):
+        for batch, texts in _read(batches, restorer):
             totals = []
-            for t in texts:
-                words = words_of(t)
+            for words in texts:
                 if len(known) > 1_000_000:
                     known.clear()
                 for w in words:
@@ -301,24 +331,24 @@ def _evidence(rows: DataFrame, model, scorer) -> DataFrame:
     return rows.select("y", "text").mapInArrow(run, "y int, total double, some boolean")
 
 
-def score(docs: DataFrame, scorer: Scorer, model: Models, text: str = "text") -> DataFrame:
-    """``row`` (all columns of docs), restored text (null where nothing was restored), score."""
+def score(docs: DataFrame, scorer: Scorer, model: Models, text: str = "text", with_restored: bool = False) -> DataFrame:
+    """``row`` (all columns of docs), score, and on request the restored text (null where nothing was restored)."""
     spark = docs.sparkSession
     ship(spark)
     shared, own = spark.sparkContext.broadcast(model), spark.sparkContext.broadcast(scorer)
-    schema = T.StructType([T.StructField("row", T.StructType(docs.schema.fields)), *T._parse_datatype_string("restored string, score double").fields])
+    schema = T.StructType([T.StructField("row", T.StructType(docs.schema.fields)), *T._parse_datatype_string("score double" + ", restored string" * with_restored).fields])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer, known = Restorer(shared.value), {}
-        for batch, texts in _restored(batches, restorer):
-            scores = []
-            for t in texts:
-                if len(known) > 1_000_000:
-                    known.clear()
-                scores.append(own.value.score(words_of(t), known))
-            before = batch.column("text").to_pylist()
-            changed = [None if not b or b == t else t for b, t in zip(before, texts, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(changed, pa.string()), pa.array(scores, pa.float64())], ["row", "restored", "score"])
+        for batch, texts in _read(batches, restorer):
+            if len(known) > 600_000:
+                known.clear()
+            columns = [batch.column("row"), pa.array([own.value.score(words, known) for words in texts], pa.float64())]
+            if with_restored:
+                before = batch.column("text").to_pylist()
+                after = [restorer.restore(t) if t else t for t in before]
+                columns.append(pa.array([None if b == t else t for b, t in zip(before, after, strict=True)], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, ["row", "score", *["restored"] * with_restored])
 
     return docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text")).mapInArrow(run, schema)
 
