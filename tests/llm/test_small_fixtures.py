@@ -226,7 +226,7 @@ def test_weighted_fingerprints(spark, mixed):
 def test_weighted_samples_collide_as_often_as_weights_agree(spark):
     rows = [(i, " ".join(["x"] * (1 + i % 5) + ["y"] * 3 + [f"z{i}"] * 2)) for i in range(200)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("other", F.concat(F.lit("x x x x "), "text", F.lit(" y q")))
-    sigs = weighted_fingerprint.signatures(df.repartition(2, "doc_id"), ["doc_id"], ["text", "other"]).join(df, "doc_id")
+    sigs = weighted_fingerprint.signatures(df.withColumn("head", F.lit("")).repartition(2, "doc_id"), ["doc_id"], "head", ["text", "other"]).join(df, "doc_id")
     got = sigs.select("text", "other", weighted_fingerprint.likeness(F.col("sig_text"), F.col("sig_other")).alias("near")).collect()
     assert abs(np.mean([r.near - weighted(r.text, r.other) for r in got])) < 0.03
 

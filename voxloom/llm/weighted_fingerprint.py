@@ -7,7 +7,7 @@ s and term x a hash draws r and c from Gamma(2, 1) and b from (0, 1). With weigh
 
 and the sample is the pair (x, t) with the least a. Two texts have equal samples with a probability equal to
 their generalised Jaccard similarity, sum of least weights over sum of greatest; the share of equal samples
-estimates it. a and a 32-bit code of (x, t) share one
+estimates it. Gamma draws come from a table of ``GRID`` quantiles. a and a 32-bit code of (x, t) share one
 long, so a sample is a plain minimum that the hash aggregate keeps in place.
 
 Built-in functions only. Texts are shuffled once, by row; words are counted and sampled in the partition where
@@ -25,6 +25,9 @@ after the last document follows the first, so a single one follows itself; an em
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -32,14 +35,34 @@ from pyspark.sql import functions as F
 from .common import materialise, shuffle_partitions, table
 
 SAMPLES = 32
+#: Samples that one pass over a text's terms draws.
+AT_ONCE = 4
+#: Quantiles in the table of gamma draws; a power of two.
+GRID = 2048
 NO_ID = -(1 << 63)
 #: Code of a sample of a text without words.
 EMPTY = -1
 
 
-def _uniform(h: Column, shift: int) -> Column:
-    """21 bits of a hash as a number in (0, 1)."""
-    return (F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << 21) - 1)) + F.lit(0.5)) * F.lit(2.0**-21)
+@lru_cache(1)
+def gamma_quantiles() -> np.ndarray:
+    """Quantiles of Gamma(2, 1) at the middles of GRID equal steps, by bisection of 1 - (1 + x) exp(-x)."""
+    p = (np.arange(GRID) + 0.5) / GRID
+    low, high = np.zeros(GRID), np.full(GRID, 50.0)
+    for _ in range(60):
+        mid = (low + high) / 2
+        below = 1 - (1 + mid) * np.exp(-mid) < p
+        low, high = np.where(below, mid, low), np.where(below, high, mid)
+    return (low + high) / 2
+
+
+def _constant(values: np.ndarray) -> Column:
+    """An array that the optimizer folds to one literal."""
+    return F.split(F.lit(",".join(f"{v:.7g}" for v in values.tolist())), ",").cast("array<double>")
+
+
+def _bits(h: Column, shift: int, size: int) -> Column:
+    return F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(size - 1))
 
 
 def _sampled(log_weight: Column, s: int) -> Column:
@@ -51,31 +74,34 @@ def _sampled(log_weight: Column, s: int) -> Column:
     return F.shiftleft(((log_a + F.lit(64.0)) * F.lit(float(1 << 24))).cast("long"), 32).bitwiseOR(code)
 
 
-def _draws(s: int) -> list[Column]:
-    """r and c from Gamma(2, 1), the latter as its logarithm, and b, of term and sample."""
-    h, g = F.xxhash64("term", F.lit(2 * s)), F.xxhash64("term", F.lit(2 * s + 1))
-    r = -F.log(_uniform(h, 0) * _uniform(h, 21))
-    c = F.log(-F.log(_uniform(g, 0) * _uniform(g, 21)))
-    return [r.alias(f"r{s}"), c.alias(f"c{s}"), _uniform(h, 42).alias(f"b{s}")]
+def _draws(s: int, gamma: Column, log_gamma: Column) -> list[Column]:
+    """r and c from Gamma(2, 1), the latter as its logarithm, and b, of term and sample, from one hash."""
+    h = F.xxhash64("term", "set", F.lit(s))
+    r = F.get(gamma, _bits(h, 0, GRID).cast("int"))
+    c = F.get(log_gamma, _bits(h, 16, GRID).cast("int"))
+    return [r.alias(f"r{s}"), c.alias(f"c{s}"), ((_bits(h, 32, 1 << 24) + F.lit(0.5)) * F.lit(2.0**-24)).alias(f"b{s}")]
 
 
-def signatures(texts: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """keys and ``sig_<column>``: array<int> of SAMPLES codes for each text column.
+def signatures(texts: DataFrame, keys: list[str], head: str, tails: list[str]) -> DataFrame:
+    """keys and ``sig_<tail>``: array<int> of SAMPLES codes for each of the texts head + tail.
 
-    texts should be partitioned by (some of) keys already. A term that stands in several of a row's texts has
-    its draws made once.
+    The head must end between words. texts should be partitioned by (some of) keys already. A term has its draws
+    made once for all texts in which it stands. Keys without any word give no row.
     """
-    split = lambda c: F.filter(F.split(F.lower(F.col(c)), r"\s+"), lambda w: w != "")
-    each = texts.select(*keys, F.posexplode(F.array(*(split(c) for c in columns))).alias("of", "words")).select(*keys, "of", F.explode_outer("words").alias("word"))
-    term = F.when(F.col("word").isNotNull(), F.xxhash64("word")).alias("term")
-    weight = lambda i: F.count(F.when(F.col("of") == i, True)).alias(f"w{i}")
-    terms = each.select(*keys, "of", term).groupBy(*keys, "term").agg(*(weight(i) for i in range(len(columns))))
-    logs = [F.when((F.col(f"w{i}") > 0) & F.col("term").isNotNull(), F.log(F.col(f"w{i}").cast("double"))).alias(f"lw{i}") for i in range(len(columns))]
-    drawn = terms.select(*keys, F.shiftrightunsigned("term", 32).alias("high"), *logs, *(d for s in range(SAMPLES) for d in _draws(s)))
-    least = [F.min(_sampled(F.col(f"lw{i}"), s)).alias(f"s{i}_{s}") for i in range(len(columns)) for s in range(SAMPLES)]
+    parts = F.array(*(F.struct(F.lit(i).alias("of"), F.col(c).alias("part")) for i, c in enumerate([head, *tails])))
+    each = texts.select(*keys, F.explode(parts).alias("p")).select(*keys, "p.of", F.explode(F.split(F.lower("p.part"), r"\s+")).alias("word")).where("word <> ''")
+    weight = lambda i: F.count(F.when((F.col("of") == 0) | (F.col("of") == i + 1), True)).alias(f"w{i}")
+    terms = each.select(*keys, "of", F.xxhash64("word").alias("term")).groupBy(*keys, "term").agg(*(weight(i) for i in range(len(tails))))
+    logs = [F.when(F.col(f"w{i}") > 1, F.log(F.col(f"w{i}").cast("double"))).when(F.col(f"w{i}") == 1, F.lit(0.0)).alias(f"lw{i}") for i in range(len(tails))]
+    gamma, log_gamma = _constant(gamma_quantiles()), _constant(np.log(gamma_quantiles()))
+    # samples are drawn a few at a time: code for all at once is too long for the JVM's compiler
+    sets = terms.select(*keys, "term", F.shiftrightunsigned("term", 32).alias("high"), *logs, F.explode(F.sequence(F.lit(0), F.lit(SAMPLES // AT_ONCE - 1))).alias("set"))
+    drawn = sets.select(*keys, "set", "high", *(f"lw{i}" for i in range(len(tails))), *(d for s in range(AT_ONCE) for d in _draws(s, gamma, log_gamma)))
+    least = [F.min(_sampled(F.col(f"lw{i}"), s)).alias(f"s{i}_{s}") for i in range(len(tails)) for s in range(AT_ONCE)]
     short = lambda i, s: F.coalesce((F.col(f"s{i}_{s}").bitwiseAND(F.lit(0xFFFFFFFF)) - F.lit(1 << 31)).cast("int"), F.lit(EMPTY))
-    made = drawn.groupBy(*keys).agg(*least)
-    return made.select(*keys, *(F.array(*(short(i, s) for s in range(SAMPLES))).alias(f"sig_{c}") for i, c in enumerate(columns)))
+    few = drawn.groupBy(*keys, "set").agg(*least).select(*keys, "set", *(F.array(*(short(i, s) for s in range(AT_ONCE))).alias(f"a{i}") for i in range(len(tails))))
+    in_order = lambda i: F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("set", f"a{i}"))), lambda x: x[f"a{i}"]))
+    return few.groupBy(*keys).agg(*(in_order(i).alias(f"sig_{c}") for i, c in enumerate(tails)))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -121,9 +147,16 @@ def compare_with_next(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     n = F.char_length("text")
     edited = F.concat(F.expr("substring(text, 1, char_length(text) - cast(floor(char_length(text) / 4) as int))"), F.col("front"))
     both = both.select("k", "h", "doc_id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
-    pair = signatures(both, ["k", "h"], ["text", "edited"]).withColumnsRenamed({"sig_text": "sig", "sig_edited": "edited_sig"})
+    # both texts begin alike; up to the last white space of that part their words are the same
+    kept = F.regexp_replace(F.expr("substring(text, 1, char_length(text) - cast(floor(char_length(text) / 4) as int))"), r"\S*$", "")
+    cut = both.select("k", "h", "text", "edited", kept.alias("head"))
+    rest = lambda c: F.expr(f"substring({c}, char_length(head) + 1)").alias(f"{c}_tail")
+    pair = signatures(cut.select("k", "h", "head", rest("text"), rest("edited")), ["k", "h"], "head", ["text_tail", "edited_tail"])
+    none = F.array_repeat(F.lit(EMPTY), SAMPLES)
+    pair = pair.select("k", "h", F.col("sig_text_tail").alias("sig"), F.col("sig_edited_tail").alias("edited_sig"))
     facts = both.select("k", "h", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
-    made = materialise(facts.join(pair.hint("merge"), ["k", "h"]), "fingerprints")
+    made = facts.join(pair.hint("merge"), ["k", "h"], "left").withColumns({c: F.coalesce(c, none) for c in ("sig", "edited_sig")})
+    made = materialise(made, "fingerprints")
 
     nexts = order.select("k", "h", "nk", "nh").join(made.select(F.col("k").alias("nk"), F.col("h").alias("nh"), F.col("sig").alias("next_sig")), ["nk", "nh"]).select("k", "h", "next_sig")
     out = made.join(nexts, ["k", "h"])
