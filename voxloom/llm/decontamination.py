@@ -156,7 +156,7 @@ def merge(text: str, spans: list[tuple[int, int]]) -> tuple[list[tuple[int, int]
 
 def cut_spans(text: str | None, spans) -> str | None:
     """The text without its spans."""
-    if text is None or not spans:
+    if text is None or spans is None or len(spans) == 0:
         return text
     raw, at, out = text.encode(), 0, []
     for s in spans:
@@ -181,7 +181,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, mode: str
 def _cut_series(texts, spans):
     import pandas as pd
 
-    return pd.Series([cut_spans(t, s if s is not None else []) for t, s in zip(texts, spans, strict=True)], dtype=object)
+    return pd.Series([cut_spans(t, s) for t, s in zip(texts, spans, strict=True)], dtype=object)
 
 
 def op7_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
