@@ -60,6 +60,8 @@ AS_LETTER, AS_SIGN, AS_RUN = 1.0, 6.0, 0.5
 LEAST, PRECISION, CHANCE = 4, 0.8, 0.01
 #: Candidates that are broadcast at most; LEAST is doubled until they are no more.
 CANDIDATES = 2_000_000
+#: Entries of each memory that a worker keeps.
+CACHED = 150_000
 BEGINNINGS = (4, 5, 6)
 
 
@@ -75,7 +77,7 @@ class Restorer:
         for c in (context + (letter or "\0"))[-4:]:
             key = key << 16 | (min(ord(c), 0xFFFF) if c != "\0" else 0)
         if key not in self.logs:
-            if len(self.logs) > 500_000:
+            if len(self.logs) > 100_000:
                 self.logs.clear()
             self.logs[key] = float(self.model.log2(np.array([key], np.uint64))[0, 0]) if self.model.labels else -5.0
         return self.logs[key]
@@ -87,7 +89,7 @@ class Restorer:
         span = found[0]
         key = (found.lastgroup if found.lastgroup != "r" else "run", span)
         if key not in self.known:
-            if len(self.known) > 200_000:
+            if len(self.known) > 50_000:
                 self.known.clear()
             self.known[key] = self.decode(re.sub(r"[ .\-*_]", "", span) if found["strung"] else span)
         return self.known[key]
@@ -153,7 +155,7 @@ class Reader:
         if _SPACED(text):
             text = self.restorer.restore(text)
         known, out = self.known, set()
-        if len(known) > 600_000:
+        if len(known) > CACHED:
             known.clear()
         for token in set(text.split()):
             found = known.get(token)
@@ -212,12 +214,12 @@ def _frequencies(rows: DataFrame, model, wanted=None) -> DataFrame:
                     some: set[str] = set()
                     for w in words:
                         if w not in of:
-                            if len(of) > 600_000:
+                            if len(of) > CACHED:
                                 of.clear()
                             of[w] = tuple(f for f in features_of(w) if f in keep)
                         some.update(of[w])
                     counts.update(some)
-            if len(counts) > 500_000:
+            if len(counts) > CACHED:
                 yield _counted(counts)
                 counts = Counter()
         if counts:
@@ -300,7 +302,7 @@ def _contexts(rows: DataFrame, model, counts: dict) -> DataFrame:
                 tokens = ["", *WORD.findall(restorer.restore(text or "").lower()), ""]
                 for before, word, after in zip(tokens, tokens[1:], tokens[2:], strict=False):
                     if word not in of:
-                        if len(of) > 600_000:
+                        if len(of) > CACHED:
                             of.clear()
                         of[word] = tuple(f for f in features_of(word) if f in keep)
                     for f in of[word]:
@@ -320,7 +322,7 @@ def _evidence(rows: DataFrame, model, scorer) -> DataFrame:
         for batch, texts in _read(batches, restorer):
             totals = []
             for words in texts:
-                if len(known) > 1_000_000:
+                if len(known) > CACHED:
                     known.clear()
                 for w in words:
                     if w not in known:
@@ -341,7 +343,7 @@ def score(docs: DataFrame, scorer: Scorer, model: Models, text: str = "text", wi
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer, known = Restorer(shared.value), {}
         for batch, texts in _read(batches, restorer):
-            if len(known) > 600_000:
+            if len(known) > CACHED:
                 known.clear()
             columns = [batch.column("row"), pa.array([own.value.score(words, known) for words in texts], pa.float64())]
             if with_restored:
