@@ -6,6 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value computed once, also where body uses it inside a lambda."""
+    return F.transform(F.array(value), body)[0]
+
+
 def strip(c: Column) -> Column:
     """Without white space of any kind at either end."""
     return F.regexp_replace(c, r"^\s+|\s+$", "")

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.strings import let
+
 
 def channel(samples: Column, channels: int, k: int = 0) -> Column:
     """Samples of channel k of interleaved ones."""
@@ -28,9 +30,14 @@ def mean(samples: Column) -> Column:
 
 def snr(samples: Column) -> Column:
     """Mean over population deviation; 0 without deviation; null without samples."""
-    m = mean(samples)
-    deviation = F.sqrt(F.aggregate(F.transform(samples, lambda x: F.pow(x.cast("double") - m, 2.0)), F.lit(0.0), lambda a, x: a + x) / F.size(samples))
-    return F.when(F.size(samples) > 0, F.when(deviation == 0, 0.0).otherwise(m / deviation))
+
+    def squared(m: Column) -> Column:
+        return F.aggregate(samples, F.lit(0.0), lambda a, x: a + (x.cast("double") - m) * (x.cast("double") - m))
+
+    def ratio(m: Column) -> Column:
+        return let(F.sqrt(squared(m) / F.size(samples)), lambda sd: F.when(sd == 0, 0.0).otherwise(m / sd))
+
+    return F.when(F.size(samples) > 0, let(mean(samples), ratio))
 
 
 def dbfs(samples: Column, full_scale: float = 1.0) -> Column:
@@ -50,7 +57,7 @@ def chunks(samples: Column, length: int, overlap: int) -> Column:
 def peak_normalize(chunk: Column) -> Column:
     """Divided by the largest absolute sample, or by 1e-6 in silence."""
     peak = F.array_max(F.transform(chunk, lambda x: F.abs(x.cast("double"))))
-    return F.transform(chunk, lambda x: x.cast("double") / F.when(peak == 0, 10e-7).otherwise(peak))
+    return let(F.when(peak == 0, 10e-7).otherwise(peak), lambda p: F.transform(chunk, lambda x: x.cast("double") / p))
 
 
 def overlap_add(rows: DataFrame, key: str, length: int, overlap: int) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.strings import let
+
 
 def words(text: Column) -> Column:
     return F.filter(F.split(text, " "), lambda w: w != "")
@@ -16,11 +18,15 @@ def _encoded(tokens: Column, vocabulary: Column) -> Column:
     return F.array_join(F.transform(tokens, one), "")
 
 
+def _edits(r: Column, h: Column) -> Column:
+    distance = lambda v: F.levenshtein(_encoded(r, v), _encoded(h, v))
+    return let(F.array_distinct(F.concat(r, h)), distance)
+
+
 def wer(reference: Column, hypothesis: Column) -> Column:
     """Word edits over reference words; null for a reference without words. May exceed 1."""
     r, h = words(reference), words(hypothesis)
-    vocabulary = F.array_distinct(F.concat(r, h))
-    return F.when(F.size(r) > 0, F.levenshtein(_encoded(r, vocabulary), _encoded(h, vocabulary)).cast("double") / F.size(r))
+    return F.when(F.size(r) > 0, _edits(r, h).cast("double") / F.size(r))
 
 
 def cer(reference: Column, hypothesis: Column) -> Column:

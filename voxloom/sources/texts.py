@@ -45,11 +45,11 @@ def parse_textgrid(content: Column) -> Column:
     first = F.regexp_extract(content, r"(?s)item \[1\]:(.*?)(item \[2\]:|\z)", 1)
     pattern = r'(?s)xmin\s*=\s*([0-9.eE+-]+)\s*xmax\s*=\s*([0-9.eE+-]+)\s*text\s*=\s*"((?:[^"]|"")*)"'
     lows, highs, marks = (F.regexp_extract_all(first, F.lit(pattern), F.lit(i)) for i in (1, 2, 3))
-    at = lambda i: F.struct(
-        F.replace(F.get(marks, i), F.lit('""'), F.lit('"')).alias("text"), F.get(lows, i).cast("double").alias("min_time"), F.get(highs, i).cast("double").alias("max_time"),
-        (F.get(highs, i).cast("double") - F.get(lows, i).cast("double")).alias("duration"),
+    at = lambda x: F.struct(
+        F.replace(x["marks"], F.lit('""'), F.lit('"')).alias("text"), x["lows"].cast("double").alias("min_time"), x["highs"].cast("double").alias("max_time"),
+        (x["highs"].cast("double") - x["lows"].cast("double")).alias("duration"),
     )
-    return F.when(F.size(lows) > 0, F.transform(F.sequence(F.lit(0), F.size(lows) - 1), at))
+    return F.when(F.size(lows) > 0, F.transform(F.arrays_zip(lows.alias("lows"), highs.alias("highs"), marks.alias("marks")), at))
 
 
 def read_side_texts(spark: SparkSession, root: str, folder: str = "asr_recognized_texts") -> DataFrame:
