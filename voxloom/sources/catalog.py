@@ -12,7 +12,7 @@ from ..schemas import TABLES
 
 
 class Catalog:
-    """Tables under ``root``. A table is the folder that its ``_current`` text file names; a write makes a new
+    """Tables under ``root``. A table is the folder that its ``CURRENT`` text file names; a write makes a new
     folder and then replaces that file, so readers see all of a write or nothing."""
 
     def __init__(self, spark: SparkSession, root: str):
@@ -23,10 +23,10 @@ class Catalog:
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
     def _current(self, table: str) -> str | None:
-        fs, p = self._fs(f"{self.root}/{table}/_current")
+        fs, p = self._fs(f"{self.root}/{table}/CURRENT")
         if not fs.exists(p):
             return None
-        return self.spark.read.text(f"{self.root}/{table}/_current").head()[0]
+        return self.spark.read.text(f"{self.root}/{table}/CURRENT").head()[0]
 
     def read(self, table: str) -> DataFrame:
         """The table, empty if it was never written; columns that older files lack are null."""
@@ -43,7 +43,7 @@ class Catalog:
         out = fs.create(temp, True)
         out.write(bytearray(at.encode()))
         out.close()
-        _, target = self._fs(f"{self.root}/{table}/_current")
+        _, target = self._fs(f"{self.root}/{table}/CURRENT")
         if fs.exists(target):
             fs.delete(target, False)
         fs.rename(temp, target)
