@@ -3,8 +3,10 @@
 Each language has a model of ``char_lm``, learned from all training texts. The language with the lowest
 cross-entropy per character wins (the first in order of names on a tie). A text is rejected if even that is
 further above the language's usual cross-entropy, measured in spreads that shrink with length, than ``SAFETY``
-times what ``QUANTILE`` of the calibration texts show. The calibration texts are a bounded sample of training rows: the
-``CALIBRATION`` rows with the smallest hashed id, of at most ``CALIBRATION_BYTES`` bytes.
+times what ``QUANTILE`` of the calibration texts show. The calibration texts are all training rows: each is scored by
+models of the half of the texts that it isn't in (copies fall into one half), so that a small language, whose model
+knows its own texts by heart, is measured as on new ones. A language with fewer than ``ENOUGH`` such texts has no usual
+cross-entropy, and no text is rejected against it.
 
 Cases: null texts and texts without letters are ``und`` with score 0 and rejected; without training rows
 everything is ``und``; rows with a null language or id aren't learned from; repeated rows are predicted alike;
@@ -23,9 +25,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .char_lm import Models, count_grams, fit
-from .common import sample_rows, ship, table
+from .common import materialise, ship, table
 
-CALIBRATION, CALIBRATION_BYTES, QUANTILE, SAFETY = 2000, 50_000, 0.999, 3.0
+ENOUGH, QUANTILE, SAFETY = 10, 0.999, 3.0
 #: Cross-entropy that any text may differ by, as a share of the language's own.
 MARGIN = 0.1
 
@@ -54,33 +56,61 @@ class Identifier:
         return ["und" if x else self.models.labels[b] for x, b in zip(none, best, strict=True)], np.where(none, 0, score), np.where(none, 0, low), rejected
 
     def excess(self, entropy: np.ndarray, label: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Distance above the usual cross-entropy, in spreads."""
-        return (entropy - self.mean[label]) / (self.spread[label] / np.sqrt(size) + MARGIN * self.mean[label])
+        """Distance above the usual cross-entropy, in spreads; none where that isn't known (nan)."""
+        mean = self.mean[label]
+        return np.where(np.isnan(mean), -np.inf, (entropy - mean) / (self.spread[label] / np.sqrt(size) + MARGIN * mean))
 
 
-def train(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Identifier:
+def train(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> Identifier:
     """Learns from all rows given."""
-    models = fit(count_grams(docs, lang, text))
-    few = docs.where(F.col(lang).isNotNull()).select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    sample = sample_rows(few, "id", CALIBRATION).where(F.octet_length("text") <= CALIBRATION_BYTES).select("text", "lang").limit(CALIBRATION).collect()
-    sums, n = models.totals([r.text for r in sample])
-    own = np.array([models.labels.index(r.lang) for r in sample], np.int64)
-    use = n > 0
-    sums, n, own = sums[use], n[use], own[use]
-    entropy = -sums[np.arange(len(n)), own] / np.maximum(n, 1) if len(n) else np.zeros(0)
-    mean, spread = np.ones(len(models.labels)), np.ones(len(models.labels))
-    for j in range(len(models.labels)):
-        if (mine := own == j).any():
-            mean[j] = np.average(entropy[mine], weights=n[mine])
-            spread[j] = np.sqrt(np.mean((entropy[mine] - mean[j]) ** 2 * n[mine])) or 1.0
+    half = F.when(F.xxhash64("text") % 2 == 0, "0").otherwise("1")
+    rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL").withColumn("half", half)
+    found = count_grams(rows.select(F.concat("half", "lang").alias("label"), "text"), "label", "text")
+    counts = materialise(found.select(F.substring("label", 1, 1).alias("half"), F.expr("substring(label, 2)").alias("label"), "gram", "n"), "half-grams")
+    models = fit(counts.groupBy("label", "gram").agg(F.sum("n").alias("n")))
+    others = {h: fit(counts.where(F.col("half") != h).select("label", "gram", "n")) for h in "01"}
+    seen = materialise(_entropies(rows, others), "entropies")
+    mean, spread = np.full(len(models.labels), np.nan), np.full(len(models.labels), np.nan)
+    size, each = F.col("size"), F.col("entropy")
+    sums = seen.where("entropy IS NOT NULL").groupBy("lang").agg(F.count(F.lit(1)).alias("texts"), F.sum(size).alias("n"), F.sum(each * size).alias("e"), F.sum(each * each * size).alias("ee"))
+    for r in sums.where(F.col("texts") >= ENOUGH).collect():
+        j = models.labels.index(r.lang)
+        mean[j] = r.e / r.n
+        spread[j] = np.sqrt(max(0.0, r.ee - r.e * r.e / r.n) / r.texts)
     out = Identifier(models, mean, spread, np.inf)
-    if len(n):
-        best = (-sums / n[:, None]).argmin(1)
-        low = -sums[np.arange(len(n)), best] / n
-        out.limit = SAFETY * max(1.0, float(np.quantile(out.excess(low, best, n), QUANTILE)))
+    usual = [(name, float(m), float(s)) for name, m, s in zip(models.labels, mean, spread, strict=True) if not np.isnan(m)]
+    if usual:
+        known = F.broadcast(docs.sparkSession.createDataFrame(usual, "best string, mean double, spread double"))
+        excess = (F.col("low") - F.col("mean")) / (F.col("spread") / F.sqrt("size") + MARGIN * F.col("mean"))
+        out.limit = SAFETY * max(1.0, seen.join(known, "best").agg(F.percentile_approx(excess, QUANTILE, 100_000)).head()[0] or 0.0)
     return out
 
 
+def _entropies(rows: DataFrame, others: dict[str, Models]) -> DataFrame:
+    """lang, entropy under its own language (null where its half's model lacks that), best language, the entropy under it, size, of each text with letters."""
+    ship(rows.sparkSession)
+    shared = rows.sparkSession.sparkContext.broadcast(others)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            halves = np.array(batch.column("half").to_pylist())
+            for h, model in shared.value.items():
+                part = batch.filter(pa.array(halves == h))
+                if not part.num_rows or not model.labels:
+                    continue
+                sums, n = model.totals(part.column("text").to_pylist())
+                at = {name: j for j, name in enumerate(model.labels)}
+                langs = part.column("lang").to_pylist()
+                own = np.array([at.get(x, -1) for x in langs])
+                entropy = -sums / np.maximum(n, 1)[:, None]
+                line, best = np.arange(len(n)), entropy.argmin(1)
+                use = pa.array(n > 0)
+                columns = [part.column("lang"), pa.array(entropy[line, own], mask=own < 0), pa.array([model.labels[b] for b in best], pa.string()), pa.array(entropy[line, best]), pa.array(n)]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "entropy", "best", "low", "size"]).filter(use)
+
+    return rows.select("lang", "text", "half").mapInArrow(run, "lang string, entropy double, best string, low double, size long")
+
+
 def identify(docs: DataFrame, identifier: Identifier, text: str = "text") -> DataFrame:
     """``row`` (all columns of docs), lang_pred, score, cross_entropy, rejected."""
     spark = docs.sparkSession
