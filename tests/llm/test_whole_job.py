@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import random
 
-from voxloom.llm import language_id
+import numpy as np
+
+from voxloom.llm import char_lm, language_id
 
 
 def prose(rng, letters, words):
@@ -20,3 +22,17 @@ def test_rare_languages_are_not_rejected(spark):
     new = spark.createDataFrame([(i, f(60), g) for i, (f, g) in enumerate([(usual, "en"), (rare, "rare"), (lone, "lone")] * 10)], "doc_id long, text string, lang string")
     for r in language_id.identify(new, model).collect():
         assert r.lang_pred == r.row.lang and not r.rejected
+
+
+def test_large_models_keep_their_order(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(name, " ".join(prose(rng, letters, 40)() for _ in range(3))) for name, letters in [("a", "etaoin"), ("b", "etaoinshr"), ("c", "shrdluç"), ("d", "бвгд")]]
+    counts = char_lm.count_grams(spark.createDataFrame(rows, "l string, t string"), "l", "t")
+    texts = [t for _, t in rows] + ["tea note on это ßüz", "", "x", "дгв бб éa shrç" * 30]
+    want, sizes = char_lm.fit(counts).totals(texts)
+    monkeypatch.setattr(char_lm, "LIMIT", 10)
+    monkeypatch.setattr(char_lm, "CELLS", 64, raising=False)
+    large = char_lm.fit(counts)
+    got, same = large.totals(texts)
+    assert large.order == char_lm.ORDER and np.array_equal(sizes, same)
+    assert np.allclose(got, want, rtol=1e-5, atol=1e-3)

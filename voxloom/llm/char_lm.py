@@ -8,8 +8,8 @@ character in the low bits; code 0 stands before the first letter and for the end
 shuffle); all lower orders follow from the distinct ones. ``Models`` holds for each order one sorted key array
 for all labels with a row of log-probabilities, and for each context a row of back-off weights.
 
-The arrays are broadcast, so their size is bounded: ``LIMIT`` bounds n-grams times labels, and the order is
-the longest, from 4 down to 1, whose counted n-grams keep to it. Order 1 always does (65,536 codes at most).
+The arrays are broadcast. Where n-grams times labels exceed ``LIMIT``, ``SparseModels`` holds for each key only
+the labels that it was counted for; back-off gives the others when a text is scored. The probabilities are the same.
 """
 
 from __future__ import annotations
@@ -26,11 +26,13 @@ from .common import materialise, ship
 
 U = np.uint64
 ORDER = 4
-#: N-grams times labels in a broadcast model.
+#: N-grams times labels above which models are sparse.
 LIMIT = 24_000_000
 #: Distinct n-grams that a task holds before it passes them on.
 HELD = 1_000_000
 BLOCK_CHARS = 500_000
+#: Log-probabilities (characters times labels) that are held at once.
+CELLS = 4_000_000
 
 
 @lru_cache(1)
@@ -141,21 +143,15 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 def fit(counts: DataFrame) -> Models:
     """Models from the table of count_grams."""
     counts = materialise(counts, "grams")
-    labels = sorted(r[0] for r in counts.select("label").distinct().collect())
-    order = ORDER
-    while order > 1 and counts.count() * max(1, len(labels)) > LIMIT:
-        order -= 1
-        mask = (1 << (16 * order)) - 1
-        counts = materialise(counts.groupBy("label", F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.sum("n").alias("n")), "grams")
-    found = counts.toArrow()  # at most LIMIT rows
-    label = np.asarray(found["label"].to_pylist(), dtype=object)
+    found = counts.toArrow()
+    coded = found["label"].dictionary_encode().combine_chunks()
+    names, label = coded.dictionary.to_pylist(), coded.indices.to_numpy()
     gram, n = found["gram"].to_numpy().view(U), found["n"].to_numpy()
-    per = {}
-    for name in labels:
-        own = label == name
-        at = np.argsort(gram[own], kind="stable")
-        per[name] = (gram[own][at], n[own][at].astype(np.float64))
-    return Models(labels, order, per)
+    order = np.lexsort((gram, label))
+    gram, n, bounds = gram[order], n[order].astype(np.float64), np.searchsorted(label[order], np.arange(len(names) + 1))
+    per = {name: (gram[bounds[i] : bounds[i + 1]], n[bounds[i] : bounds[i + 1]]) for i, name in enumerate(names)}
+    labels = sorted(names)
+    return (SparseModels if len(gram) * len(labels) > LIMIT else Models)(labels, ORDER, per)
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,6 +162,17 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, keys[at] == wanted
 
 
+def _discounted(own: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts of one label's keys, their back-off weights, and for each key the place of its context and its discounted share."""
+    ones, twos = (n == 1).sum(), (n == 2).sum()
+    discount = ones / (ones + 2 * twos) if ones and twos else 0.5
+    context, start = np.unique(own >> U(16), return_index=True)
+    total = np.add.reduceat(n, start) if len(own) else n
+    kinds = np.diff(np.append(start, len(own)))
+    of, _ = _find(context, own >> U(16))
+    return context, discount * kinds / total, of, np.maximum(n - discount, 0) / (total[of] if len(own) else 1)
+
+
 class Models:
     """Per order from the longest: sorted keys with log2-probabilities per label, sorted contexts with log2 back-off weights."""
 
@@ -181,23 +188,22 @@ class Models:
         union = {k: np.unique(np.concatenate([g[0] for g in by.values()])) if by else np.zeros(0, U) for k, by in grams_by.items()}
         symbols = max(2, len(union.get(1, ())) + 1)
         self.floor = -np.log2(symbols)
+        self.fill(grams_by, union, symbols)
+
+    def fill(self, grams_by: dict[int, dict[str, tuple[np.ndarray, np.ndarray]]], union: dict[int, np.ndarray], symbols: int) -> None:
+        labels = self.labels
         lower = None
         self.levels: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
-        for k in range(1, order + 1):
+        for k in range(1, self.order + 1):
             keys, contexts = union[k], np.unique(union[k] >> U(16))
             prob, back = np.zeros((len(keys), len(labels))), np.ones((len(contexts), len(labels)))
             for j, name in enumerate(labels):
-                own, n = grams_by[k][name]
-                ones, twos = (n == 1).sum(), (n == 2).sum()
-                discount = ones / (ones + 2 * twos) if ones and twos else 0.5
-                context, start = np.unique(own >> U(16), return_index=True)
-                total = np.add.reduceat(n, start) if len(own) else n
-                kinds = np.diff(np.append(start, len(own)))
+                own = grams_by[k][name][0]
+                context, weight, _, share = _discounted(*grams_by[k][name])
                 at, _ = _find(contexts, context)
-                back[at, j] = discount * kinds / total
-                of, _ = _find(context, own >> U(16))
+                back[at, j] = weight
                 at, _ = _find(keys, own)
-                prob[at, j] = np.maximum(n - discount, 0) / (total[of] if len(own) else 1)
+                prob[at, j] = share
             if k == 1:
                 prob += back[0] / symbols if len(contexts) else 0
                 base = (back[0] if len(contexts) else np.ones(len(labels))) / symbols
@@ -235,8 +241,76 @@ class Models:
             keys, owner = grams(texts[a:b])
             if not len(keys):
                 continue
-            logs = self.log2(keys)
-            for j in range(len(self.labels)):
-                sums[a:b, j] = np.bincount(owner, logs[:, j], b - a)
+            step = max(1, CELLS // max(1, len(self.labels)))
+            for i in range(0, len(keys), step):
+                logs, of = self.log2(keys[i : i + step]), owner[i : i + step]
+                for j in range(len(self.labels)):
+                    sums[a:b, j] += np.bincount(of, logs[:, j], b - a)
             sizes[a:b] = np.bincount(owner, minlength=b - a)
         return sums, sizes
+
+
+class SparseModels(Models):
+    """The same models, per order with the labels of each key and context only: sorted keys, where each one's entries start, their labels and log2 values."""
+
+    def fill(self, grams_by: dict[int, dict[str, tuple[np.ndarray, np.ndarray]]], union: dict[int, np.ndarray], symbols: int) -> None:
+        probs, backs = {k: [] for k in grams_by}, {k: [] for k in grams_by}
+        self.unseen = np.zeros(len(self.labels), np.float32)
+        for j, name in enumerate(self.labels):
+            below = None
+            for k in range(1, self.order + 1):
+                own = grams_by[k][name][0]
+                context, weight, of, share = _discounted(*grams_by[k][name])
+                if k == 1:
+                    base = weight[0] / symbols
+                    self.unseen[j] = np.log2(base)
+                    prob = share + base
+                else:
+                    at, _ = _find(grams_by[k - 1][name][0], own & U((1 << (16 * (k - 1))) - 1))
+                    prob = share + weight[of] * below[at]
+                below = prob
+                probs[k].append((own, np.log2(np.maximum(prob, 1e-300)).astype(np.float32)))
+                backs[k].append((context, np.log2(np.maximum(weight, 1e-300)).astype(np.float32)))
+        self.levels = {k: (*_by_key(probs.pop(k)), *_by_key(backs.pop(k))) for k in range(1, self.order + 1)}
+
+    def log2(self, keys: np.ndarray) -> np.ndarray:
+        """log2-probability of each key's last character under each label."""
+        keys, back_to = np.unique(keys, return_inverse=True)
+        out, open_ = np.zeros((len(keys), len(self.labels)), np.float32), np.ones((len(keys), len(self.labels)), bool)
+        rest = np.arange(len(keys))
+        for k in range(self.order, 0, -1):
+            own_keys, starts, labels, prob, contexts, context_starts, context_labels, back = self.levels[k]
+            short = keys[rest] & U((1 << (16 * k)) - 1) if k < 4 else keys[rest]
+            row, entry = _entries(own_keys, starts, short)
+            row, label = rest[row], labels[entry]
+            new = open_[row, label]
+            out[row[new], label[new]] += prob[entry[new]]
+            open_[row, label] = False
+            live = open_[rest].any(1)
+            rest, short = rest[live], short[live]
+            if not len(rest):
+                return out[back_to]
+            if k > 1:
+                row, entry = _entries(contexts, context_starts, short >> U(16))
+                row, label = rest[row], context_labels[entry]
+                new = open_[row, label]
+                out[row[new], label[new]] += back[entry[new]]
+        return (out + np.where(open_, self.unseen, np.float32(0)))[back_to]
+
+
+def _by_key(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct sorted keys, starts of their entries, labels, values) of one (keys, values) a label."""
+    keys = np.concatenate([p[0] for p in parts])
+    label = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p[0]) for p in parts])
+    order = np.argsort(keys, kind="stable")
+    distinct, starts = np.unique(keys[order], return_index=True)
+    return distinct, np.append(starts, len(keys)), label[order], np.concatenate([p[1] for p in parts])[order]
+
+
+def _entries(keys: np.ndarray, starts: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in wanted, entry) of all entries of the wanted keys."""
+    at, found = _find(keys, wanted)
+    row, at = np.flatnonzero(found), at[found]
+    n = starts[at + 1] - starts[at]
+    first = np.repeat(starts[at] - (np.cumsum(n) - n), n)
+    return np.repeat(row, n), first + np.arange(len(first))
