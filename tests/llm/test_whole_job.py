@@ -6,7 +6,7 @@ import random
 
 import numpy as np
 
-from voxloom.llm import char_lm, language_id
+from voxloom.llm import char_lm, language_id, toxicity
 
 
 def prose(rng, letters, words):
@@ -36,3 +36,15 @@ def test_large_models_keep_their_order(spark, monkeypatch):
     got, same = large.totals(texts)
     assert large.order == char_lm.ORDER and np.array_equal(sizes, same)
     assert np.allclose(got, want, rtol=1e-5, atol=1e-3)
+
+
+def test_many_candidates_are_all_tested(spark, monkeypatch):
+    rng = random.Random(5)
+    say = prose(rng, "etaoinshrdlu", 12)
+    texts = [(i, f"{say()} {'zorkle' if i < 6 else 'grimpf'} {say()}" if i < 40 else say(20), int(i < 40)) for i in range(600)]
+    docs, labels = spark.createDataFrame([x[:2] for x in texts], "doc_id long, text string"), spark.createDataFrame([(i, y) for i, _, y in texts], "doc_id long, toxic int")
+    model = toxicity.character_model(docs)
+    want = toxicity.train(docs, labels, model)
+    monkeypatch.setattr(toxicity, "CANDIDATES", 3)
+    assert {"zorkle", "grimpf"} <= set(want.weights)
+    assert toxicity.train(docs, labels, model) == want

@@ -58,7 +58,7 @@ AS_LETTER, AS_SIGN, AS_RUN = 1.0, 6.0, 0.5
 
 #: Toxic texts that a candidate is in at least; share of toxic ones among its texts; chance of any false feature.
 LEAST, PRECISION, CHANCE = 4, 0.8, 0.01
-#: Candidates that are broadcast at most; LEAST is doubled until they are no more.
+#: Candidates that are broadcast at most; more are joined with the counts of all features of clean texts.
 CANDIDATES = 2_000_000
 #: Entries of each memory that a worker keeps.
 CACHED = 150_000
@@ -248,17 +248,15 @@ def train(docs: DataFrame, labels: DataFrame, model: Models, *, doc_id: str = "d
     t = materialise(_frequencies(rows.where("y = 1").select("text"), shared).where(F.col("n") >= LEAST), "toxic-features")
     # candidates: at least LEAST toxic texts; a feature of few letters more costs a string in a broadcast set
     held = t.count()
-    least = LEAST
-    while held > CANDIDATES:
-        least *= 2
-        t = t.where(F.col("n") >= least)
-        held = t.count()
-    wanted = spark.sparkContext.broadcast({r[0] for r in t.select("feature").collect()})
-    c = materialise(_frequencies(rows.where("y = 0").select("text"), shared, wanted), "clean-features")
+    clean_rows = rows.where("y = 0").select("text")
+    if held <= CANDIDATES:
+        c = _frequencies(clean_rows, shared, spark.sparkContext.broadcast({r[0] for r in t.select("feature").collect()}))
+    else:
+        c = _frequencies(clean_rows, shared).join(t.select("feature").hint("merge"), "feature", "left_semi")
+    c = materialise(c, "clean-features")
     both = t.withColumnRenamed("n", "t").join(c.withColumnRenamed("n", "c"), "feature", "left").select("feature", "t", F.coalesce("c", F.lit(0)).alias("c"))
     precise = (F.col("t") + 0.5) / (F.col("t") + F.col("c") + 1) >= PRECISION
-    counts = {r.feature: (r.t, r.c) for r in both.where(precise).collect()}  # of the candidates, bounded above
-    counts = {f: x for f, x in counts.items() if significant(*x, toxic, clean, held)}
+    counts = {r.feature: (r.t, r.c) for r in _beyond_chance(both.where(precise), toxic, clean, held).collect()}
     found = _contexts(rows.where("y = 1"), shared, counts)
     counts = {r.feature: (r.n, counts[r.feature][1]) for r in found.collect()}
     counts = {f: (n, c) for f, (n, c) in counts.items() if n >= LEAST and (n + 0.5) / (n + c + 1) >= PRECISION and significant(n, c, toxic, clean, held)}
@@ -290,6 +288,17 @@ def significant(n: int, c: int, toxic: int, clean: int, tested: int) -> bool:
     return ways + n * math.log((toxic + 0.5) / (toxic + clean + 1)) < math.log(CHANCE / max(1, tested))
 
 
+def _beyond_chance(counts: DataFrame, toxic: int, clean: int, tested: int) -> DataFrame:
+    """Those (feature, t, c) that are significant."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column("t").to_pylist(), batch.column("c").to_pylist(), strict=True)
+            yield batch.filter(pa.array([significant(n, c, toxic, clean, tested) for n, c in pairs], pa.bool_()))
+
+    return counts.mapInArrow(run, counts.schema)
+
+
 def _contexts(rows: DataFrame, model, counts: dict) -> DataFrame:
     """(feature, n): between how many different pairs of neighbours each candidate stands in toxic texts."""
     wanted = rows.sparkSession.sparkContext.broadcast(frozenset(counts))
