@@ -48,3 +48,10 @@ def test_many_candidates_are_all_tested(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "CANDIDATES", 3)
     assert {"zorkle", "grimpf"} <= set(want.weights)
     assert toxicity.train(docs, labels, model) == want
+
+
+def test_letters_strung_out_by_two_separators_are_read(spark):
+    model = toxicity.character_model(spark.createDataFrame([("you are stupid and that is that",)] * 3, "text string"))
+    reader = toxicity.Reader(toxicity.Restorer(model))
+    for text in ["so s  t  u  p  i  d here", "so s -t -u -p -i -d here", "so s- t- u- p- i- d here", "so s t u p i d here"]:
+        assert "stupid" in reader.words(text), text

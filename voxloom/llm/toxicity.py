@@ -139,7 +139,7 @@ class Restorer:
 
 
 #: Three single letters in a row may be a strung-out word.
-_SPACED = re.compile(r"(?<![^\W_])[^\W\d_](?:[.\-*_]?[ .\-*_][^\W\d_]){2}(?![^\W_])").search
+_SPACED = re.compile(r"(?<![^\W_])[^\W\d_](?:[ .\-*_]{1,2}[^\W\d_]){2}(?![^\W_])").search
 
 
 class Reader:
