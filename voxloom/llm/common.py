@@ -10,9 +10,16 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SHIPPED: set[str] = set()
+#: Rows of one Arrow batch, unless the session says otherwise: batches of whole texts are held several times over.
+BATCH_ROWS = 1000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,7 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, so that Python workers can import it."""
+    """Send this package to the executors once per application, so that Python workers can import it.
+
+    A session that has Spark's own number of rows in an Arrow batch gets BATCH_ROWS: 10,000 texts take too much memory.
+    """
+    if spark.conf.get(_BATCH_CONF) == "10000":
+        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
@@ -73,21 +85,37 @@ def delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def named(name: str) -> Column:
+    """A column by its exact name, whatever signs are in it."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
+def as_row(docs: DataFrame) -> Column:
+    """All columns as one struct ``row``, whatever their names."""
+    return F.struct(*(named(c) for c in docs.columns)).alias("row")
+
+
+def row_schema(docs: DataFrame, more: str) -> T.StructType:
+    """``row`` with the columns of docs, then the fields of ``more``."""
+    return T.StructType([T.StructField("row", T.StructType(docs.schema.fields)), *T._parse_datatype_string(more).fields])
+
+
+def part_of(batch: pa.RecordBatch, at: int) -> pa.Array:
+    """Field number ``at`` of the ``row`` column of a batch."""
+    return pc.struct_field(batch.column("row"), [at])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def join_small(big: DataFrame, small: DataFrame, on: str | list[str], how: str, rows: int, limit: int = 1_000_000) -> DataFrame:
     """Broadcast ``small`` only where its counted ``rows`` stay under ``limit``; otherwise a shuffled join."""
-    from pyspark.sql import functions as F
-
     return big.join(F.broadcast(small) if rows <= limit else small.hint("merge"), on, how)
 
 
 def sample_rows(rows: DataFrame, key: str, size: int) -> DataFrame:
     """About ``size`` rows, those with the smallest hashed key; only keys are read to find them."""
-    from pyspark.sql import functions as F
-
     h = F.xxhash64(key)
     least = [r[0] for r in rows.select(h.alias("h")).orderBy("h").limit(size).collect()]
     return rows.where(h <= (least[-1] if least else 0))
@@ -95,7 +123,5 @@ def sample_rows(rows: DataFrame, key: str, size: int) -> DataFrame:
 
 def sample_texts(rows: DataFrame, key: str, text: str, size: int, longest: int) -> list[str]:
     """Texts of at most ``longest`` bytes of about ``size`` sampled rows, in order of hashed key; ``size`` at most."""
-    from pyspark.sql import functions as F
-
     found = sample_rows(rows, key, size).where(F.octet_length(text) <= longest).select(F.xxhash64(key).alias("h"), F.col(text).alias("t")).limit(size).collect()
     return [r.t for r in sorted(found, key=lambda r: (r.h, r.t))]

@@ -13,7 +13,6 @@ row; an empty benchmark leaves all documents clean. Other columns pass through u
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
-from .common import materialise, ship, table
+from .common import as_row, materialise, named, part_of, row_schema, ship, table
 
 #: Benchmark bytes in one broadcast; a larger benchmark is scanned in several passes.
 BLOCK_LIMIT = 64_000_000
@@ -69,34 +68,25 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, *, text: str = "tex
     """``row`` (all columns of docs), n_words, n_hit, items (ids as strings, sorted) and hit spans (UTF-8 byte offsets, merged)."""
     spark = docs.sparkSession
     ship(spark)
-    bench = benchmark.select(F.col(item).cast("string").alias("id"), F.col(item_text).alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
+    bench = benchmark.select(named(item).cast("string").alias("id"), named(item_text).alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
     size = bench.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     passes = 1 + int(size // BLOCK_LIMIT)
-    out = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("t"), F.lit(None).cast("array<string>").alias("items"), F.lit(None).cast("array<struct<start:int,end:int>>").alias("spans"))
+    place = docs.columns.index(text)
+    out = docs.select(as_row(docs), F.lit(None).cast("array<string>").alias("items"), F.lit(None).cast("array<struct<start:int,end:int>>").alias("spans"))
     for p in range(passes):
         part = bench.where(F.pmod(F.xxhash64("id"), F.lit(passes)) == p).collect()  # at most about BLOCK_LIMIT bytes
         index = spark.sparkContext.broadcast(Index([(r.id, r.text) for r in part], n))
-        last = p == passes - 1
-        out = out.mapInArrow(_scanner(index, last), _schema(docs, last))
-        if not last:
+        out = out.mapInArrow(_scanner(index, place), row_schema(docs, FOUND))
+        if p < passes - 1:
             out = materialise(out, "decontamination").drop("n_words", "n_hit")
     return out
 
 
-def _schema(docs: DataFrame, last: bool):
-    from pyspark.sql import types as T
-
-    fields = [T.StructField("row", T.StructType(docs.schema.fields))]
-    if not last:
-        fields.append(T.StructField("t", T.StringType()))
-    return T.StructType(fields + T._parse_datatype_string(FOUND).fields)
-
-
-def _scanner(index, last: bool):
+def _scanner(index, place: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table_ = index.value
         for batch in batches:
-            texts = batch.column("t")
+            texts = part_of(batch, place)
             n_words, n_hit, items, spans = scan_texts(texts, table_)
             before_items, before_spans = batch.column("items").to_pylist(), batch.column("spans").to_pylist()
             for i in range(len(n_words)):
@@ -104,9 +94,8 @@ def _scanner(index, last: bool):
                     items[i] = sorted({*items[i], *before_items[i]})
                     spans[i], n_hit[i] = merge(texts[i].as_py(), [*spans[i], *((s["start"], s["end"]) for s in before_spans[i])])
             span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-            cols = [batch.column("row")] + ([] if last else [texts])
-            cols += [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], span_type)]
-            yield pa.RecordBatch.from_arrays(cols, ["row"] + ([] if last else ["t"]) + ["n_words", "n_hit", "items", "spans"])
+            cols = [batch.column("row"), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], span_type)]
+            yield pa.RecordBatch.from_arrays(cols, ["row", "n_words", "n_hit", "items", "spans"])
 
     return run
 
@@ -173,7 +162,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, mode: str
     if mode != "spans":
         raise ValueError("mode is documents or spans")
     cut = F.pandas_udf(lambda t, s: _cut_series(t, s), "string")
-    columns = [cut(F.col("row.text"), F.col("spans")).alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]
+    columns = [cut(F.col("row.text"), F.col("spans")).alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns]
     out = found.select(*columns)
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
@@ -192,10 +181,6 @@ def op7_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
     )
 
 
-def digest(items: list[str]) -> str:
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
-
-
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 OP7_SQL = rf"""

@@ -22,10 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .char_lm import Models, count_grams, fit
-from .common import materialise, ship, table
+from .common import as_row, materialise, named, part_of, row_schema, ship, table
 
 ENOUGH, QUANTILE, SAFETY = 10, 0.999, 3.0
 #: Cross-entropy that any text may differ by, as a share of the language's own.
@@ -64,7 +63,7 @@ class Identifier:
 def train(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> Identifier:
     """Learns from all rows given."""
     half = F.when(F.xxhash64("text") % 2 == 0, "0").otherwise("1")
-    rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL").withColumn("half", half)
+    rows = docs.select(named(lang).cast("string").alias("lang"), named(text).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL").withColumn("half", half)
     found = count_grams(rows.select(F.concat("half", "lang").alias("label"), "text"), "label", "text")
     counts = materialise(found.select(F.substring("label", 1, 1).alias("half"), F.expr("substring(label, 2)").alias("label"), "gram", "n"), "half-grams")
     models = fit(counts.groupBy("label", "gram").agg(F.sum("n").alias("n")))
@@ -116,15 +115,15 @@ def identify(docs: DataFrame, identifier: Identifier, text: str = "text") -> Dat
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(identifier)
-    schema = T.StructType([T.StructField("row", T.StructType(docs.schema.fields)), *T._parse_datatype_string("lang_pred string, score double, cross_entropy double, rejected boolean").fields])
+    place = docs.columns.index(text)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            lang, score, entropy, rejected = model.predict(batch.column("text").to_pylist())
+            lang, score, entropy, rejected = model.predict(part_of(batch, place).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(entropy, pa.float64()), pa.array(rejected, pa.bool_())], ["row", "lang_pred", "score", "cross_entropy", "rejected"])
 
-    return docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return docs.select(as_row(docs)).mapInArrow(run, row_schema(docs, "lang_pred string, score double, cross_entropy double, rejected boolean"))
 
 
 def fold(doc_id: str, folds: int) -> Column:

@@ -26,9 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import ship, table
+from .common import as_row, part_of, row_schema, ship, table
 from .word_cache import PieceCache
 
 MARK = "▁"
@@ -194,8 +193,7 @@ def encode(docs: DataFrame, model_file: str, text: str = "text") -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     data = spark.sparkContext.broadcast(open(model_file, "rb").read())
-    fields = [T.StructField("row", T.StructType(docs.schema.fields))]
-    schema = T.StructType([*fields, *T._parse_datatype_string("token_ids binary, n_tokens long, decoded string, parity boolean").fields])
+    place = docs.columns.index(text)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = worker(data.value)
@@ -203,7 +201,7 @@ def encode(docs: DataFrame, model_file: str, text: str = "text") -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                texts = part.column("text").to_pylist()
+                texts = part_of(part, place).to_pylist()
                 normal = [b.normalize(t or "") for t in texts]
                 ids = w.cache.encode(normal)
                 odd = w.odd
@@ -220,7 +218,7 @@ def encode(docs: DataFrame, model_file: str, text: str = "text") -> DataFrame:
                     ["row", "token_ids", "n_tokens", "decoded", "parity"],
                 )
 
-    return docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return docs.select(as_row(docs)).mapInArrow(run, row_schema(docs, "token_ids binary, n_tokens long, decoded string, parity boolean"))
 
 
 _TABLES: dict[int, list[str]] = {}
