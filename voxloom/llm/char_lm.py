@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, ship
+from .common import discard, materialise, ship
 
 U = np.uint64
 ORDER = 4
@@ -144,6 +144,7 @@ def fit(counts: DataFrame) -> Models:
     """Models from the table of count_grams."""
     counts = materialise(counts, "grams")
     found = counts.toArrow()
+    discard(counts)
     coded = found["label"].dictionary_encode().combine_chunks()
     names, label = coded.dictionary.to_pylist(), coded.indices.to_numpy()
     gram, n = found["gram"].to_numpy().view(U), found["n"].to_numpy()

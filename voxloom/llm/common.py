@@ -75,14 +75,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    """Remove a scratch path that no later step reads."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def discard(df: DataFrame) -> None:
+    """Remove the files of a materialised table that nothing reads any more."""
+    jvm = df.sparkSession.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(df._scratch)
+    p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def named(name: str) -> Column:

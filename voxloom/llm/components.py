@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import discard, materialise
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -34,7 +34,7 @@ def _mark(edges: DataFrame) -> tuple:
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges`` (src, dst); component is its smallest node.
 
-    Edges with a null end and loops count for nothing. Every round is written to the shared folder. Rounds
+    Edges with a null end and loops count for nothing. Every round is written to the shared folder, and the one before it removed. Rounds
     grow with the logarithm of the longest path; ``max_rounds`` only guards against a fault and raises.
     """
     now = materialise(edges.select("src", "dst").where("src <> dst").distinct(), "edges")
@@ -42,7 +42,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         if not mark[0]:
             break
-        now = materialise(_star(_star(now, large=True), large=False), "edges")
+        last, now = now, materialise(_star(_star(now, large=True), large=False), "edges")
+        discard(last)
         before, mark = mark, _mark(now)
         if before == mark:
             break

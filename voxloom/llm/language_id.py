@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .char_lm import Models, count_grams, fit
-from .common import as_row, materialise, named, part_of, row_schema, ship, table
+from .common import as_row, discard, materialise, named, part_of, row_schema, ship, table
 
 ENOUGH, QUANTILE, SAFETY = 10, 0.999, 3.0
 #: Cross-entropy that any text may differ by, as a share of the language's own.
@@ -82,6 +82,8 @@ def train(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> Identif
         known = F.broadcast(docs.sparkSession.createDataFrame(usual, "best string, mean double, spread double"))
         excess = (F.col("low") - F.col("mean")) / (F.col("spread") / F.sqrt("size") + MARGIN * F.col("mean"))
         out.limit = SAFETY * max(1.0, seen.join(known, "best").agg(F.percentile_approx(excess, QUANTILE, 100_000)).head()[0] or 0.0)
+    discard(counts)
+    discard(seen)
     return out
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialise, shuffle_partitions, table
+from .common import discard, materialise, named, shuffle_partitions, table
 
 SAMPLES = 32
 #: Samples that one pass over a text's terms draws.
@@ -116,7 +116,7 @@ def fingerprint(sig: Column) -> Column:
 
 
 def successors(ids: DataFrame, partitions: int) -> DataFrame:
-    """(k, h, n) of distinct rows, with nk, nh of the next in ascending order; the first follows the last."""
+    """(k, h, n) of distinct rows, with nk, nh of the next in ascending order; the first follows the last. Written to the shared folder."""
     placed = ids.repartitionByRange(partitions, "k", "h").withColumn("part", F.spark_partition_id())
     placed = materialise(placed, "ordered-ids")
     firsts = placed.groupBy("part").agg(F.min(F.struct("k", "h")).alias("first"))
@@ -125,19 +125,25 @@ def successors(ids: DataFrame, partitions: int) -> DataFrame:
     own = W.partitionBy("part").orderBy("k", "h")
     led = placed.withColumn("next", F.lead(F.struct("k", "h")).over(own)).join(F.broadcast(around), "part")
     after = F.coalesce("next", "after")
-    return led.select("k", "h", "n", after["k"].alias("nk"), after["h"].alias("nh"))
+    out = materialise(led.select("k", "h", "n", after["k"].alias("nk"), after["h"].alias("nh")), "successors")
+    discard(placed)
+    return out
 
 
 def compare_with_next(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("k"), F.xxhash64("text").alias("h"), "doc_id", "text")
+    rows = docs.select(named(doc_id).alias("doc_id"), F.coalesce(named(text), F.lit("")).alias("text"))
+    id_type = rows.schema["doc_id"].dataType
+    rows = rows.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("k"), F.xxhash64("text").alias("h"), "text")
     ids = materialise(rows.groupBy("k", "h").agg(F.max(F.char_length("text").cast("long")).alias("n"), F.count(F.lit(1)).alias("copies")), "ids")
     repeated = bool(ids.where("copies > 1").head(1))
-    order = materialise(successors(ids.select("k", "h", "n"), parts), "successors")
+    order = successors(ids.select("k", "h", "n"), parts)
+    if not repeated:
+        discard(ids)
 
+    # both uses of it read the same columns, so that texts are shuffled once
     held = rows.repartition(parts, "k", "h")
     if repeated:
         held = held.dropDuplicates(["k", "h"])
@@ -146,7 +152,7 @@ def compare_with_next(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     both = held.join(front.hint("merge"), ["k", "h"])
     n = F.char_length("text")
     edited = F.concat(F.expr("substring(text, 1, char_length(text) - cast(floor(char_length(text) / 4) as int))"), F.col("front"))
-    both = both.select("k", "h", "doc_id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
+    both = both.select("k", "h", n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
     # both texts begin alike; up to the last white space of that part their words are the same
     kept = F.regexp_replace(F.expr("substring(text, 1, char_length(text) - cast(floor(char_length(text) / 4) as int))"), r"\S*$", "")
     cut = both.select("k", "h", "text", "edited", kept.alias("head"))
@@ -154,7 +160,7 @@ def compare_with_next(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     pair = signatures(cut.select("k", "h", "head", rest("text"), rest("edited")), ["k", "h"], "head", ["text_tail", "edited_tail"])
     none = F.array_repeat(F.lit(EMPTY), SAMPLES)
     pair = pair.select("k", "h", F.col("sig_text_tail").alias("sig"), F.col("sig_edited_tail").alias("edited_sig"))
-    facts = both.select("k", "h", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
+    facts = both.select("k", "h", "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
     made = facts.join(pair.hint("merge"), ["k", "h"], "left").withColumns({c: F.coalesce(c, none) for c in ("sig", "edited_sig")})
     made = materialise(made, "fingerprints")
 
@@ -163,7 +169,7 @@ def compare_with_next(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     if repeated:
         out = out.join(ids.select("k", "h", "copies"), ["k", "h"]).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copy", "copies")
     return out.select(
-        "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("sig")).alias("fingerprint"), fingerprint(F.col("edited_sig")).alias("edited_fingerprint"),
+        F.nullif("k", F.lit(NO_ID)).cast(id_type).alias("doc_id"), "n_chars", "edited_sha256", fingerprint(F.col("sig")).alias("fingerprint"), fingerprint(F.col("edited_sig")).alias("edited_fingerprint"),
         likeness(F.col("sig"), F.col("edited_sig")).alias("near_edited"), likeness(F.col("sig"), F.col("next_sig")).alias("near_next"),
     )
 
