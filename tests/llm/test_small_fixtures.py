@@ -28,11 +28,11 @@ from voxloom.llm import (
 )
 from voxloom.llm.common import scratch
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, `rule` int, node double"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, `rule` int, node double, `a.b` int, `k``t` int"
 
 
 def frame(spark, rows, extra=True):
-    rows = [(i, t, g, "s", len(t) if t is not None else None, "x", 1, 0.5) for i, t, g in rows]
+    rows = [(i, t, g, "s", len(t) if t is not None else None, "x", 1, 0.5, 7, 8) for i, t, g in rows]
     df = spark.createDataFrame(rows, SCHEMA)
     return df if extra else df.select("doc_id", "text", "lang", "source", "n_chars")
 
@@ -379,7 +379,7 @@ def test_toxicity(spark):
     got = {r.row.doc_id: r.score for r in toxicity.score(odd, scorer, model).collect()}
     assert got[1] == got[2] == got[4] < 0.5 <= got[3]
     none = toxicity.train(docs, labels.limit(0), model)
-    assert 0 < none.score(["x"], {}) < 0.5
+    assert 0 < none.score(0.0) < 0.5
 
 
 def test_empty_tables(spark):

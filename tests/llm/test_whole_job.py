@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import collections
+import itertools
 import random
+import re
 
 import numpy as np
+import pyarrow as pa
 
-from voxloom.llm import char_lm, language_id, toxicity
+from voxloom.llm import char_lm, language_id, letters, toxicity
 
 
 def prose(rng, letters, words):
@@ -38,20 +42,133 @@ def test_large_models_keep_their_order(spark, monkeypatch):
     assert np.allclose(got, want, rtol=1e-5, atol=1e-3)
 
 
-def test_many_candidates_are_all_tested(spark, monkeypatch):
+def test_a_full_memory_changes_nothing(spark, monkeypatch):
     rng = random.Random(5)
     say = prose(rng, "etaoinshrdlu", 12)
     texts = [(i, f"{say()} {'zorkle' if i < 6 else 'grimpf'} {say()}" if i < 40 else say(20), int(i < 40)) for i in range(600)]
     docs, labels = spark.createDataFrame([x[:2] for x in texts], "doc_id long, text string"), spark.createDataFrame([(i, y) for i, _, y in texts], "doc_id long, toxic int")
     model = toxicity.character_model(docs)
     want = toxicity.train(docs, labels, model)
-    monkeypatch.setattr(toxicity, "CANDIDATES", 3)
-    assert {"zorkle", "grimpf"} <= set(want.weights)
-    assert toxicity.train(docs, labels, model) == want
+    assert want.has("zorkle") and want.has("grimpf") and not want.has("etaoin")
+    column = pa.array([t for _, t, _ in texts])
+    reader = toxicity.Reader(toxicity.Restorer(model))
+    before = [float(x) for r in reader.read(column) for x in want.totals(r)]
+    monkeypatch.setattr(toxicity, "CACHED", 3)
+    monkeypatch.setattr(toxicity, "HELD", 7)
+    monkeypatch.setattr(letters, "BLOCK_CHARS", 500)
+    small = toxicity.Reader(toxicity.Restorer(model))
+    assert np.allclose([x for r in small.read(column) for x in want.totals(r)], before)
+    again = toxicity.train(docs, labels, model)
+    assert np.array_equal(again.keys, want.keys) and np.allclose(again.weights, want.weights)
+    assert [x > 0 for x in before] == [y == 1 for _, _, y in texts]
+
+
+def brute_words(restorer, text):
+    """Words of a text that is restored as a whole."""
+    return {k[0] for w in re.findall(r"[^\W\d_]+", restorer.restore(text)) for k in toxicity.feature_keys([w])}
+
+
+def test_reading_by_token_is_reading_whole_texts(spark):
+    rng = random.Random(9)
+    docs = spark.createDataFrame([("you are stupid and that is that, a worthless clown i say",)] * 3, "text string")
+    model = toxicity.character_model(docs)
+    bits = ["stup1d", "STUUUPID", "s t u p i d", "a", "I", "w.o.r.t.h", "l e s s", "cl0wn", "c-l o-w n", "2nd", "that!", "«a", "b»", "é é é", "x\ty\tz", "x\ny z w", "s\u00a0t u p", "1d10t", "", " ", "\U0001d422 \U0001d41d \U0001d422", "\U0001d422\U0001d41d", "(the", "😀x", "ab!", "!ab", "no_1", "_a_b_c_"]
+    reader = toxicity.Reader(toxicity.Restorer(model))
+    whole = toxicity.Restorer(model)
+    for _ in range(3000):
+        text = rng.choice([" ", "  ", "\n", " -"]).join(rng.choice(bits) for _ in range(rng.randint(0, 8)))
+        assert reader.words(text) == brute_words(whole, text), text
+
+
+def test_decoding_finds_the_cheapest_reading(spark):
+    """Against all readings of a small lattice."""
+    model = toxicity.character_model(spark.createDataFrame([("you are stupid and that is that too silly",)] * 3, "text string"))
+    restorer = toxicity.Restorer(model)
+    for token in ("5tup1d", "5i11y", "t00", "th@@@t", "siiilly", "$1!1y", "1", "aaa1"):
+        costs = {}
+        for way in itertools.product(*restorer.lattice(token)):
+            reading, total, context = "".join(p for p, _ in way), sum(c for _, c in way), ""
+            for c in reading:
+                if c.isalpha():
+                    total -= restorer.log2(context, c)
+                    context = (context + c)[-3:]
+                else:
+                    total -= restorer.log2(context, "") if context else 0.0
+                    context = ""
+            total -= restorer.log2(context, "") if context else 0.0
+            costs[reading] = min(total, costs.get(reading, np.inf))
+        assert abs(costs[restorer.decode(token)] - min(costs.values())) < 1e-6, token
+
+
+def brute_kneser_ney(texts, alphabet_size):
+    """log2-probability of a letter after its context, from the formulas, with dictionaries."""
+    grams = collections.Counter()
+    for t in texts:
+        for w in t.split():
+            line = "\0" * 3 + w + "\0"
+            for i in range(3, len(line)):
+                grams[line[max(i - 3, line.rfind("\0", 0, i)) : i + 1][-4:].rjust(4, "\0")] += 1
+    levels = {4: grams}
+    for k in (3, 2, 1):
+        levels[k] = collections.Counter(g[1:] for g in levels[k + 1])
+    discount = {}
+    for k, c in levels.items():
+        one, two = sum(n == 1 for n in c.values()), sum(n == 2 for n in c.values())
+        discount[k] = one / (one + 2 * two) if one and two else 0.5
+
+    def p(gram):
+        k = len(gram)
+        if not k:
+            return 1 / alphabet_size
+        same = {g: n for g, n in levels[k].items() if g[:-1] == gram[:-1]}
+        if not same:
+            return p(gram[1:])
+        total = sum(same.values())
+        return max(same.get(gram, 0) - discount[k], 0) / total + discount[k] * len(same) / total * p(gram[1:])
+
+    return lambda gram: np.log2(p(gram))
+
+
+def test_kneser_ney_scores_are_those_of_the_formulas(spark, monkeypatch):
+    texts = ["the cat sat on the mat", "a cat and a hat", "that is it", "on on on a mat"]
+    brute = brute_kneser_ney(texts, len({c for t in texts for c in t if c != " "}) + 2)
+    counts = char_lm.count_grams(spark.createDataFrame([("x", t) for t in texts], "l string, t string"), "l", "t")
+    for limit in (char_lm.LIMIT, 1):
+        monkeypatch.setattr(char_lm, "LIMIT", limit)
+        model = char_lm.fit(counts)
+        for text in ["the cat", "hat on a tame mat", "zebra", "t", "onion hats"]:
+            want = 0.0
+            for w in text.split():
+                line = "\0" * 3 + w + "\0"
+                want += sum(brute(line[i - 3 : i + 1]) for i in range(3, len(line)))
+            assert abs(model.totals([text])[0][0, 0] - want) < 1e-3 * abs(want), text
 
 
 def test_letters_strung_out_by_two_separators_are_read(spark):
     model = toxicity.character_model(spark.createDataFrame([("you are stupid and that is that",)] * 3, "text string"))
     reader = toxicity.Reader(toxicity.Restorer(model))
     for text in ["so s  t  u  p  i  d here", "so s -t -u -p -i -d here", "so s- t- u- p- i- d here", "so s t u p i d here"]:
-        assert "stupid" in reader.words(text), text
+        assert toxicity.feature_keys(["stupid"])[0][0] in reader.words(text), text
+
+
+def test_letters_beyond_the_basic_plane_stay_apart(spark):
+    texts = ["\U0001d41a\U0001d41b", "\U0001d41c\U0001d41d", "a\U00010400z"]
+    keys, owner = char_lm.grams(texts)
+    assert owner.tolist() == [0] * 5 + [1] * 5 + [2] * 5 and len(set(keys[:5].tolist()) & set(keys[5:10].tolist())) <= 1
+    assert char_lm.grams(["\U00010400"])[0].tolist() == char_lm.grams(["\U00010428"])[0].tolist()  # a capital and its small letter
+    a, b = (toxicity.feature_keys([t])[0][0] for t in texts[:2])
+    assert a != b
+
+
+def test_features_are_counted_as_by_hand(spark):
+    rng = random.Random(11)
+    say = prose(rng, "etaoinsh", 30)
+    rows = [(i % 2, say() + " aaah st0p") for i in range(60)] + [(1, ""), (0, None)]
+    model = toxicity.character_model(spark.createDataFrame([(t,) for _, t in rows], "text string"))
+    shared = spark.sparkContext.broadcast(model)
+    got = {r.feature & (1 << 64) - 1: (r.t, r.c) for r in toxicity._frequencies(spark.createDataFrame(rows, "y int, text string").repartition(3), shared).collect()}
+    restorer, want = toxicity.Restorer(model), collections.Counter()
+    for y, t in rows:
+        words = set(re.findall(r"[^\W\d_]+", restorer.restore(t or "")))
+        want.update((f, y) for f in {f for w in words for f in toxicity.feature_keys([w])[0]})
+    assert got == {f: (want[f, 1], want[f, 0]) for f, _ in want}

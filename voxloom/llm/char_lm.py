@@ -2,7 +2,8 @@
 
 A text is its words: runs of letters, lower-cased. A word is predicted letter by letter and then its end, from
 the letters before it in the word. An n-gram of 16-bit character codes packs into one 64-bit key, the latest
-character in the low bits; code 0 stands before the first letter and for the end.
+character in the low bits; code 0 stands before the first letter and for the end. Letters beyond the basic plane are
+two codes (``letters``).
 
 ``count_grams`` counts the longest n-grams of all texts on the executors (summed in each task before the
 shuffle); all lower orders follow from the distinct ones. ``Models`` holds for each order one sorted key array
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, materialise, ship
+from .letters import codes_of, laid_out, small_letters, text_blocks
 
 U = np.uint64
 ORDER = 4
@@ -30,50 +32,23 @@ ORDER = 4
 LIMIT = 24_000_000
 #: Distinct n-grams that a task holds before it passes them on.
 HELD = 1_000_000
-BLOCK_CHARS = 500_000
 #: Log-probabilities (characters times labels) that are held at once.
 CELLS = 4_000_000
 
 
 @lru_cache(1)
 def letter_codes() -> np.ndarray:
-    """Code of every character of the basic plane: its lower-case letter, or 0 where it is none."""
-    out = np.zeros(1 << 16, np.uint16)
-    for i in range(1 << 16):
-        c = chr(i)
-        if c.isalpha():
-            low = c.lower()
-            out[i] = ord(low) if len(low) == 1 and ord(low) < 1 << 16 else i
-    return out
-
-
-def codes_of(points: np.ndarray) -> np.ndarray:
-    """Codes of code points; letters beyond the basic plane share codes of the private area, by their block."""
-    out = letter_codes()[np.minimum(points, 0xFFFF)]
-    far = np.flatnonzero(points > 0xFFFF)
-    if len(far):
-        values, at = np.unique(points[far], return_inverse=True)
-        out[far] = np.array([0xE000 + (int(v) >> 8) % 0x1000 if chr(v).isalpha() else 0 for v in values], np.uint16)[at]
-    return out
+    return small_letters(str.isalpha)
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(keys, texts they are from) of all predicted characters, in order."""
-    joined = "\0".join(texts)
-    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    code = codes_of(points)
-    owner = np.zeros(len(points), np.int32)
-    ends = np.cumsum([len(t) + 1 for t in texts[:-1]], dtype=np.int64)
-    if len(ends):
-        owner[ends - 1] = 1
-        owner = np.cumsum(owner, dtype=np.int32)
-        owner[ends - 1] -= 1  # the separator ends the last word of the text before it
-    before = np.zeros_like(code)
-    before[1:] = code[:-1]
-    keep = (code != 0) | (before != 0)
+    units, bounds = laid_out(texts)
+    code = codes_of(units, letter_codes(), str.isalpha)
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(bounds))
+    keep = code != 0
+    keep[1:] |= keep[:-1]  # the end of a word, too; the unit after a text ends its last word
     code, owner = code[keep], owner[keep]
-    if len(code) and code[-1]:  # the last word ends with the last text
-        code, owner = np.append(code, np.uint16(0)), np.append(owner, owner[-1])
     n = len(code)
     key = code.astype(U)
     live = np.ones(n, bool)
@@ -85,18 +60,6 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return key, owner
 
 
-def text_blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about BLOCK_CHARS characters."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= BLOCK_CHARS:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def count_grams(docs: DataFrame, label: str, text: str) -> DataFrame:
     """(label, gram, n) over all rows; rows with a null label or text count for nothing."""
     ship(docs.sparkSession)
