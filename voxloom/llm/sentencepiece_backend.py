@@ -7,7 +7,8 @@ and byte fallback. Control and unknown pieces never match text, user-defined one
 A piece with the marker inside doesn't exist in models that split at white space. The ids of a text are then
 those of its parts cut before each run of markers, so a worker keeps the ids of parts it has seen, and sends
 the new ones to the library in multithreaded batches. Every new part is checked: its ids against those of the
-SentencePiece library, its decoding against itself. Other models get whole texts as parts.
+SentencePiece library, its decoding against itself. Models that can't be cut get whole texts as parts; ids of models
+that remove spaces, add none in front or map characters are compared by whole texts, without the decoding.
 
 Cases: null text stays null in encoded and decoded columns with 0 ids; empty text has no ids; repeated rows
 are encoded alike; other columns pass through whatever their names; an empty table gives an empty result.
@@ -155,6 +156,8 @@ class Worker:
         self.backend = Backend(data)
         self.library = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.odd: set[str] = set()
+        #: Whether the library can be asked part by part: it must leave a part's spaces alone and add one in front.
+        self.by_part = self.backend.cuttable and self.backend.model.dummy_prefix and not self.backend.model.remove_extra_spaces and not self.backend.model.charsmap
         self.cache = PieceCache(_CUT if self.backend.cuttable else lambda t: [t], self.encode_new)
 
     def encode_new(self, parts: list[str]) -> list[bytes]:
@@ -164,7 +167,7 @@ class Worker:
             some = parts[i : i + 4096]
             ids = [x.ids for x in t.encode_batch_fast(some, add_special_tokens=False)]
             # the library adds the prefix that stands at the front of a part, or one to take away again
-            marked = [p.startswith(MARK) and self.backend.model.dummy_prefix and not self.backend.model.remove_extra_spaces for p in some]
+            marked = [self.by_part and p.startswith(MARK) for p in some]
             theirs = self.library.encode([p[1:].replace(MARK, " ") if k else "" for p, k in zip(some, marked, strict=True)], num_threads=THREADS)
             back = t.decode_batch(ids, skip_special_tokens=False)
             for p, own, k, their, text in zip(some, ids, marked, theirs, back, strict=True):
@@ -174,6 +177,15 @@ class Worker:
         return out
 
 
+    def parity(self, texts: list[str], normal: list[str], ids: list[bytes]) -> list[bool]:
+        """Whether ids are those of the SentencePiece library: by parts where that can be, else by whole texts."""
+        if self.by_part:
+            return [not self.odd or self.odd.isdisjoint(self.cache.cut(n)) for n in normal]
+        theirs = self.library.encode(texts, num_threads=THREADS)
+        own = (np.frombuffer(x, self.backend.dtype).tolist() for x in ids)
+        return [a == b for a, b in zip(own, theirs, strict=True)]
+
+
 _WORKERS: dict[int, Worker] = {}
 
 
@@ -187,8 +199,8 @@ def worker(data: bytes) -> Worker:
 def encode(docs: DataFrame, model_file: str, text: str = "text") -> DataFrame:
     """``row`` (all columns of docs), token_ids (little-endian binary), n_tokens, decoded, parity.
 
-    decoded: the text that the ids stand for. parity: false where a part's ids differ from the SentencePiece
-    library's, or its decoding from itself.
+    decoded: the text that the ids stand for. parity: false where ids differ from the SentencePiece library's or, by
+    parts, the decoding from the part.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -204,8 +216,7 @@ def encode(docs: DataFrame, model_file: str, text: str = "text") -> DataFrame:
                 texts = part_of(part, place).to_pylist()
                 normal = [b.normalize(t or "") for t in texts]
                 ids = w.cache.encode(normal)
-                odd = w.odd
-                parity = [not odd or odd.isdisjoint(w.cache.cut(n)) for n in normal]
+                parity = w.parity([t or "" for t in texts], normal, ids)
                 decoded = decode_texts(b, ids)
                 yield pa.RecordBatch.from_arrays(
                     [
