@@ -86,7 +86,11 @@ def test_jaccard_join_is_exact(spark, mixed, k, num, den):
     assert sorted(map(tuple, got), key=str) == brute_components(mixed, k, num, den)
 
 
-def test_jaccard_join_on_a_large_star_of_near_copies(spark):
+@pytest.mark.parametrize(("few", "close", "chunk"), [(8, 4096, 1024), (2, 4, 3)])
+def test_jaccard_join_on_a_large_star_of_near_copies(spark, monkeypatch, few, close, chunk):
+    monkeypatch.setattr(ngram_jaccard, "FEW", few)
+    monkeypatch.setattr(ngram_jaccard, "CLOSE", close)
+    monkeypatch.setattr(ngram_jaccard, "CHUNK", chunk)
     rng = random.Random(3)
     words = [f"w{i}" for i in range(4000)]
     base = [rng.choice(words) for _ in range(150)]
@@ -274,16 +278,35 @@ def field_of(number, kind, value):
     return key + (value if kind == 5 else bytes([value]) if kind == 0 else bytes([len(value)]) + value)
 
 
-def test_sentencepiece_unigram_model():
+def unigram_model(remove_extra_spaces=0):
     """A unigram model written by hand, piece by piece."""
     import struct
 
-    import sentencepiece
-
     pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)] + [(f"<0x{i:02X}>", 0.0, 6) for i in range(256)]
     pieces += [(p, s, 1) for p, s in [("▁", -3.0), ("a", -4.0), ("b", -4.5), ("ab", -5.0), ("▁ab", -5.5), ("ba", -6.0), ("▁b", -5.2), ("aba", -8.1), ("▁▁", -9.0)]]
     data = b"".join(field_of(1, 2, field_of(1, 2, p.encode()) + field_of(2, 5, struct.pack("<f", s)) + field_of(3, 0, k)) for p, s, k in pieces)
-    data += field_of(2, 2, field_of(3, 0, 1) + field_of(35, 0, 1)) + field_of(3, 2, field_of(1, 2, b"identity") + field_of(3, 0, 1) + field_of(4, 0, 0) + field_of(5, 0, 1))
+    data += field_of(2, 2, field_of(3, 0, 1) + field_of(35, 0, 1)) + field_of(3, 2, field_of(1, 2, b"identity") + field_of(3, 0, 1) + field_of(4, 0, remove_extra_spaces) + field_of(5, 0, 1))
+    return data
+
+
+@pytest.mark.parametrize("remove", [0, 1])
+def test_parity_is_compared_for_every_kind_of_model(remove):
+    w = sentencepiece_backend.Worker(unigram_model(remove))
+
+    def parity(texts):
+        normal = [w.backend.normalize(t) for t in texts]
+        return w.parity(texts, normal, w.cache.encode(normal))
+
+    assert parity(["ab abab", "  ba  b "]) == [True, True]
+    w = sentencepiece_backend.Worker(unigram_model(remove))
+    w.library = type("Wrong", (), {"encode": lambda self, texts, **_: [[1]] * len(texts)})()
+    assert parity(["ab abab", "  ba  b "]) == [False, False]
+
+
+def test_sentencepiece_unigram_model():
+    import sentencepiece
+
+    data = unigram_model()
     library = sentencepiece.SentencePieceProcessor(model_proto=data)
     w = sentencepiece_backend.Worker(data)
     texts = ["ab abab bba", "", "  ab", "aé日 b", "b" * 50, "ba ba  ab"]

@@ -49,4 +49,6 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             break
     else:
         raise RuntimeError("connected components didn't settle")
-    return now.select(F.col("src").alias("node"), F.col("dst").alias("component")).union(now.select("dst", "dst").distinct())
+    out = now.select(F.col("src").alias("node"), F.col("dst").alias("component")).union(now.select("dst", "dst").distinct())
+    out._scratch = now._scratch  # for a caller that discards it
+    return out

@@ -12,17 +12,23 @@ agrees with the partner's. A set that falls short is indexed once more, in a lis
 segments, empty ones included, and for as many segments as it lacks all neighbourhoods of one deletion
 (allocated 2). A pair of which at most one falls short meets in the first index, others in the second.
 
-Keys with up to ``FEW`` sets give all their pairs. Keys with more are hot. Their pairs aren't listed: the set
-that shares most hot keys becomes the pivot of each key, all others are compared with it, and what is left
-is found among differences. For sets x and y with differences dx and dy from their pivot, the distance of x
-and y is that of dx and dy. So a linked pair of which one isn't linked to the pivot shares a token among the
-first few of its differences, in any fixed order. The order puts tokens first that the pivot lacks, rare ones
-before common ones, then those that only the pivot has, common ones before rare ones, as most sets lack what
-is rare; a count sketch of ``SLOTS`` slots over the sets at hand tells how common a token is. Such tokens
-are keys of the next level. There a pair is listed unless both are linked to the pivot or their parities
-differ too much: the parity of the number of tokens in each of ``PARITY`` slots differs between two sets in at
-most as many slots as the sets differ in tokens. Keys with more than ``CLOSE`` sets get a pivot again, for
-``LEVELS`` levels; then they are listed too. A star of n near copies thus costs n comparisons, not n².
+Only what connects is looked for: a pair whose sets are known to be in one component needs no check. Pairs are proposed
+from keys and dropped, before any text is fetched, where their parities differ too much: the parity of the number of
+tokens in each of ``PARITY`` slots differs between two sets in at most as many slots as the sets differ in tokens.
+
+Keys with up to ``FEW`` sets propose all their pairs. Keys with more have a pivot, the set that shares most such
+keys; all others are paired with it. Keys with up to ``CLOSE`` sets then propose, of each set, the nearest one by
+parities in another component (within ``CHUNK`` sets), and at last, when these links are known, all pairs of sets in different components
+whose parities allow a link. A cluster of near copies is one component by then.
+
+Keys with more than ``CLOSE`` sets are hot. All their sets are compared with the pivot, and what is left is found
+among differences. For sets x and y with differences dx and dy from their pivot, the distance of x and y is that of
+dx and dy. So a linked pair of which one isn't linked to the pivot shares a token among the first few of its
+differences, in any fixed order; pairs of which both are in the pivot's component don't matter. The order puts tokens first that the pivot lacks, rare ones before common ones,
+then those that only the pivot has, common ones before rare ones, as most sets lack what is rare; a count sketch of
+``SLOTS`` slots over the sets at hand tells how common a token is. Such tokens are keys of the next level, of
+``LEVELS`` at most, as long as each halves the rows of hot keys; the last one's hot keys are listed like others, by a join. A star of n near copies thus costs n
+comparisons, not n².
 
 Every pair is verified on its two whole texts. Tokens are 64-bit hashes of word sequences; two different
 shingles share one with probability 2^-64.
@@ -38,29 +44,34 @@ from __future__ import annotations
 
 from collections import OrderedDict
 from collections.abc import Iterable, Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
-from .common import join_small, materialise, ship, shuffle_partitions, table
+from .common import discard, join_small, materialise, named, ship, shuffle_partitions, table
 from .components import connected_components
 
 U = np.uint64
 #: Upper end of a size band over its lower end.
 BAND = 1.5
 #: Levels of pivots for hot keys.
-LEVELS = 3
-#: Sets of one key of later levels up to which pairs are listed under the parity bound.
-CLOSE = 128
+LEVELS = 6
+#: Sets of one key up to which parities are compared with each other.
+CLOSE = 4096
+#: Sets among which the nearest is looked for.
+CHUNK = 1024
 #: Slots of a set's parities; a multiple of 64.
 PARITY = 512
 #: Stands for a null id where texts are fetched.
 NO_ID = -(1 << 63)
-#: Sets of one key up to which all pairs are listed.
+#: Sets of one key up to which all pairs are proposed.
 FEW = 8
 #: Slots of the token counts that are broadcast.
 SLOTS = 1 << 18
@@ -153,12 +164,10 @@ def _short(content: np.ndarray, segment: np.ndarray, full: np.ndarray, sums: np.
     return np.concatenate([whole, bw.mix(total[at] - content[mine] + bw.mix(names[at] + kind))])
 
 
-def set_hashes(tokens: np.ndarray) -> tuple[int, int]:
-    """Two order-free hashes of a set."""
+def node_of(tokens: np.ndarray) -> int:
+    """An order-free hash of a set."""
     with np.errstate(over="ignore"):
-        a = bw.mix(np.array([bw.mix(tokens + U(1)).sum(dtype=U)], U) + U(len(tokens)))
-        b = bw.mix(np.array([bw.mix(tokens ^ U(0xA0761D6478BD642F)).sum(dtype=U)], U))
-    return int(a.view(np.int64)[0]), int(b.view(np.int64)[0])
+        return int(bw.mix(np.array([bw.mix(tokens + U(1)).sum(dtype=U)], U) + U(len(tokens))).view(np.int64)[0])
 
 
 def sets_of(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -170,19 +179,18 @@ def sets_of(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
 
 
 def shingle_sizes(rows: DataFrame, k: int) -> DataFrame:
-    """id, n_shingles and node (a hash of the set; null for an empty one) of each row of (id, text)."""
+    """id, n_shingles, node (a hash of the set; null for an empty one) and the set's parities, of each row of (id, text)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, nodes, more = [], [], []
+            sizes, nodes, odd = [], [], []
             for s in sets_of(batch.column("text"), k):
                 sizes.append(len(s))
-                a, b = set_hashes(s) if len(s) else (None, None)
-                nodes.append(a)
-                more.append(b)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(more, pa.int64())], ["id", "n_shingles", "node", "second"])
+                nodes.append(node_of(s) if len(s) else None)
+                odd.append(parities(s) if len(s) else None)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(odd, pa.list_(pa.int64()))], ["id", "n_shingles", "node", "parity"])
 
-    return rows.mapInArrow(run, "id long, n_shingles long, node long, second long")
+    return rows.mapInArrow(run, "id long, n_shingles long, node long, parity array<long>")
 
 
 def index(rows: DataFrame, k: int, scheme: Scheme) -> DataFrame:
@@ -195,7 +203,7 @@ def index(rows: DataFrame, k: int, scheme: Scheme) -> DataFrame:
             for s in sets_of(batch.column("text"), k):
                 if not len(s):
                     continue
-                node = set_hashes(s)[0]
+                node = node_of(s)
                 if node in seen:
                     continue
                 seen.add(node)
@@ -239,13 +247,70 @@ def star_pairs(hot: DataFrame) -> DataFrame:
     return ranked.join(pivot, "key").where("node <> pivot").select("pivot", "node").distinct()
 
 
-def close_pairs(shared: DataFrame, scheme: Scheme) -> DataFrame:
-    """(a, b), a < b, of each key's sets, without pairs that are both linked to the pivot or whose parities differ in more slots than linked sets can in tokens."""
-    x, y = shared.alias("x"), shared.alias("y")
-    apart = sum((F.bit_count(F.col(f"x.p{i}").bitwiseXOR(F.col(f"y.p{i}"))) for i in range(PARITY // 64)), F.lit(0))
-    may = F.expr(f"({scheme.den - scheme.num} * (x.size + y.size)) div {scheme.den + scheme.num}")
-    found = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & ~(F.col("x.near") & F.col("y.near")) & (apart <= may))
-    return found.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+def _may(scheme: Scheme, x: str, y: str) -> Column:
+    """Whether the parities of two sets allow a link."""
+    apart = F.aggregate(F.zip_with(f"{x}.parity", f"{y}.parity", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, b: n + b)
+    return apart <= F.expr(f"({scheme.den - scheme.num} * ({x}.size + {y}.size)) div {scheme.den + scheme.num}")
+
+
+def possible(pairs: DataFrame, info: DataFrame, scheme: Scheme) -> DataFrame:
+    """Those pairs (a, b) whose parities allow a link. info: (node, size, parity)."""
+    x, y = info.alias("x"), info.alias("y")
+    return pairs.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node")).where(_may(scheme, "x", "y")).select("a", "b")
+
+
+def close_pairs(hot: DataFrame, scheme: Scheme) -> DataFrame:
+    """(a, b), a < b, of sets of each key that are in different components and whose parities allow a link."""
+    x, y = hot.alias("x"), hot.alias("y")
+    found = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")) & _may(scheme, "x", "y"))
+    return found.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
+def near_pairs(rows: DataFrame, scheme: Scheme, nearest: bool) -> DataFrame:
+    """(a, b), a < b, of sets of each key (of at most CLOSE) that are in different components and whose parities
+    allow a link: for each set the nearest one, or all. rows: (key, node, size, parity, comp)."""
+
+    def pairs(node: np.ndarray, size: np.ndarray, odd: np.ndarray, comp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for i in range(0, len(node), 64):
+            part = slice(i, i + 64)
+            apart = np.zeros((len(node[part]), len(node)), np.int32)
+            for p in odd.T:
+                apart += np.bitwise_count(p[part, None] ^ p[None, :])
+            may = (apart <= (scheme.den - scheme.num) * (size[part, None] + size[None, :]) // (scheme.den + scheme.num)) & (comp[part, None] != comp[None, :])
+            if nearest:
+                best = np.where(may, apart, PARITY + 1).argmin(1)
+                at = np.flatnonzero(may[np.arange(len(best)), best])
+                x, y = at + i, best[at]
+            else:
+                x, y = np.nonzero(may)
+                x = x + i
+                x, y = x[x < y], y[x < y]
+            yield np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in chain(batches, [None]):
+            if batch is None:
+                now, cut = held, len(held[0]) if held else 0
+            else:
+                odd = pc.list_flatten(batch.column("parity")).to_numpy().view(U).reshape(-1, PARITY // 64)
+                now = [*(batch.column(c).to_numpy() for c in ("key", "node", "size", "comp")), odd]
+                now = now if held is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
+                cut = int(np.searchsorted(now[0], now[0][-1])) if len(now[0]) else 0  # the last key may go on
+                held = [x[cut:] for x in now]
+            if not cut:
+                continue
+            key, node, size, comp, odd = (x[:cut] for x in now)
+            bounds = np.append(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])), cut)
+            found = [np.zeros((2, 0), np.int64)]
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                if (comp[a:b] != comp[a]).any():
+                    found += pairs(node[a:b], size[a:b], odd[a:b], comp[a:b])
+            x, y = np.unique(np.concatenate([np.vstack(f) for f in found], 1), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
+
+    dealt = rows.select("key", "node", "size", "parity", "comp").repartition(shuffle_partitions(rows.sparkSession), "key").sortWithinPartitions("key")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
 def parities(tokens: np.ndarray) -> np.ndarray:
@@ -296,23 +361,20 @@ def _slot(tokens: np.ndarray) -> np.ndarray:
 
 
 def verify(pairs: DataFrame, texts: DataFrame, k: int, scheme: Scheme, ranks=None) -> DataFrame:
-    """(a, b, linked, diff, size, parity) of pairs (a, b, star): the last three for stars, of b, diff being its first differences from a, as far as they can matter."""
+    """(a, b, linked, diff) of pairs (a, b, star): diff for stars, the first differences of b from a, as far as they can matter."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = _Sets(k)
         rank = None if ranks is None else ranks.value
         for batch in batches:
             a, b, ta, tb, star = (batch.column(c) for c in ("a", "b", "ta", "tb", "star"))
-            linked, diff, size, parity = [], [], [], []
+            linked, diff = [], []
             for i in range(batch.num_rows):
-                na, nb = a[i].as_py(), b[i].as_py()
-                x, y = sets.get(na, ta[i].as_py()), sets.get(nb, tb[i].as_py())
-                common = len(np.intersect1d(x, y, assume_unique=True)) if not min(len(x), len(y)) * scheme.den < scheme.num * max(len(x), len(y)) or star[i].as_py() else 0
+                x, y = sets.get(a[i].as_py(), ta[i].as_py()), sets.get(b[i].as_py(), tb[i].as_py())
+                common = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(scheme.linked(common, len(x), len(y)))
                 if not star[i].as_py():
                     diff.append(None)
-                    size.append(None)
-                    parity.append(None)
                     continue
                 own, gone = np.setdiff1d(y, x, assume_unique=True), np.setdiff1d(x, y, assume_unique=True)
                 other = np.concatenate([own, gone])
@@ -320,60 +382,122 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, scheme: Scheme, ranks=Non
                 rarity[len(own) :] = 127 - rarity[len(own) :]
                 order = np.argsort(rarity, kind="stable")
                 diff.append(other[order[: scheme.reach(len(y)) + 1]].view(np.int64))
-                size.append(len(y))
-                parity.append(parities(y))
-            columns = [pa.array(linked, pa.bool_()), pa.array(diff, pa.list_(pa.int64())), pa.array(size, pa.int64()), pa.array(parity, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([a, b, *columns], ["a", "b", "linked", "diff", "size", "parity"])
+            yield pa.RecordBatch.from_arrays([a, b, pa.array(linked, pa.bool_()), pa.array(diff, pa.list_(pa.int64()))], ["a", "b", "linked", "diff"])
 
-    ta = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
-    tb = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
+    n = pairs.count()
+    need = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    some = join_small(texts, need, "node", "left_semi", 2 * n)
+    ta = some.select(F.col("node").alias("a"), F.col("text").alias("ta"))
+    tb = some.select(F.col("node").alias("b"), F.col("text").alias("tb"))
     joined = pairs.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb", "star")
-    return joined.mapInArrow(run, "a long, b long, linked boolean, diff array<long>, size long, parity array<long>")
+    return joined.mapInArrow(run, "a long, b long, linked boolean, diff array<long>")
 
 
-def next_keys(stars: DataFrame) -> DataFrame:
-    """(key, node, near, size, parities) of the next level: tokens of first differences, under their pivot, where a set that isn't linked to the pivot has one too."""
-    own = [F.col("parity")[i].alias(f"p{i}") for i in range(PARITY // 64)]
-    each = stars.select(F.col("a").alias("pivot"), F.col("b").alias("node"), F.col("linked").alias("near"), "size", *own, F.explode("diff").alias("token"))
+def next_keys(stars: DataFrame, comps: DataFrame) -> DataFrame:
+    """(key, node) of the next level: tokens of first differences, under their pivot, where a set that isn't in the pivot's component has one too."""
+    of = lambda name: comps.select(F.col("node").alias(name), F.col("comp").alias(f"of_{name}"))
+    placed = stars.select("a", "b", "diff").join(of("a"), "a", "left").join(of("b"), "b", "left")
+    near = F.coalesce("of_a", "a") == F.coalesce("of_b", "b")
+    each = placed.select(F.col("a").alias("pivot"), F.col("b").alias("node"), near.alias("near"), F.explode("diff").alias("token"))
     alone = each.where("NOT near").groupBy("pivot", "token").agg(F.count(F.lit(1)).alias("alone")).drop("alone")
-    return each.join(alone, ["pivot", "token"]).withColumn("key", F.xxhash64("pivot", "token")).drop("pivot", "token")
+    return each.join(alone, ["pivot", "token"]).select(F.xxhash64("pivot", "token").alias("key"), "node")
+
+
+class Finder:
+    """Links found so far, and the pairs that were verified."""
+
+    def __init__(self, docs: DataFrame, sizes: DataFrame, k: int, scheme: Scheme):
+        self.spark, self.docs, self.k, self.scheme = docs.sparkSession, docs, k, scheme
+        # one row for each set: the smallest of its ids that isn't null, and the texts under that id that have the set
+        one = sizes.where("node IS NOT NULL").groupBy("node").agg(F.coalesce(F.min("id"), F.lit(NO_ID)).alias("id"), F.first("n_shingles").alias("size"), F.first("parity").alias("parity"))
+        self.one, self.texts, self.ranks, self.found, self.scratch = one, None, None, [], []
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """A table that goes with the finder."""
+        out = materialise(df, name)
+        self.scratch.append(out)
+        return out
+
+    def start(self, shared: DataFrame) -> None:
+        """Fetches the sets that share a key; later levels have no others."""
+        self.info = self.keep(self.one.join(shared.select("node").distinct(), "node"), "ngram-nodes")
+        need = self.info.select("node", "id")
+        docs = self.docs.withColumn("id", F.coalesce("id", F.lit(NO_ID)))
+        self.texts = self.keep(_own(join_small(docs, need, "id", "inner", need.count()).select("node", "text"), self.k), "ngram-texts")
+
+    def check(self, pairs: DataFrame, star: bool = False) -> DataFrame:
+        """Verifies pairs (a, b) that weren't yet; stars get differences."""
+        pairs = pairs.select("a", "b").distinct()
+        if self.found and not star:  # as stars, they need their differences
+            pairs = pairs.join(reduce(DataFrame.union, [f.select("a", "b") for f in self.found]), ["a", "b"], "left_anti")
+        pairs = self.keep(pairs.withColumn("star", F.lit(star)), "ngram-pairs")
+        if star and self.ranks is None:
+            self.ranks = self.spark.sparkContext.broadcast(token_ranks(self.texts, self.k))
+        out = self.keep(verify(pairs, self.texts, self.k, self.scheme, self.ranks if star else None), "ngram-links")
+        self.found.append(out)
+        return out
+
+    def links(self) -> DataFrame:
+        return reduce(DataFrame.union, [f.where("linked").select("a", "b") for f in self.found])
+
+    def labels(self) -> DataFrame:
+        """(node, comp): the smallest node that two links reach. Sets with one label are in one component; that is
+        enough for pivots and those linked to them, and costs no rounds."""
+        links = self.links()
+        both = links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select("b", "a"))
+        least = both.groupBy("node").agg(F.min("other").alias("m")).select(F.col("node").alias("other"), F.least("node", "m").alias("m"))
+        return both.join(least, "other").groupBy("node").agg(F.min("m").alias("comp"))
+
+    def components(self) -> DataFrame:
+        """(node, comp) by all links so far."""
+        out = connected_components(self.links().select(F.col("a").alias("src"), F.col("b").alias("dst")))
+        self.scratch.append(out)
+        return out.withColumnRenamed("component", "comp")
+
+    def placed(self, rows: DataFrame, comps: DataFrame) -> DataFrame:
+        """rows (key, node, n) with size, parity and component of the node, of keys in more than one component."""
+        nodes = self.info.select("node", "size", "parity").join(comps, "node", "left").select("node", "size", "parity", F.coalesce("comp", "node").alias("comp"))
+        rows = rows.select("key", "node", "n").join(nodes, "node")
+        apart = rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key")
+        return self.keep(rows.join(apart, "key", "left_semi"), "ngram-apart")
+
+    def close(self) -> None:
+        for df in self.scratch:
+            discard(df)
+        if self.ranks is not None:
+            self.ranks.destroy()
 
 
 def find_links(docs: DataFrame, sizes: DataFrame, k: int, scheme: Scheme) -> DataFrame:
     """(a, b) nodes of links that connect all that is connected. docs: (id, text); sizes: its shingle_sizes."""
-    spark = docs.sparkSession
-    # one row for each set: the smallest of its ids that isn't null, and the texts under that id that have the set
-    one = sizes.where("node IS NOT NULL").groupBy("node").agg(F.coalesce(F.min("id"), F.lit(NO_ID)).alias("id"))
-    docs = docs.withColumn("id", F.coalesce("id", F.lit(NO_ID)))
-    links, done, texts, ranks = None, None, None, None
-    shared = materialise(several(index(docs.select("text"), k, scheme)), "ngram-keys")
+    finder = Finder(docs, sizes, k, scheme)
+    shared = finder.keep(several(index(docs.select("text"), k, scheme)), "ngram-keys")
+    finder.start(shared)
+    before = None
     for level in range(LEVELS + 1):
-        last = level == LEVELS
-        limit = F.lit(FEW if level == 0 else CLOSE)
-        listed = few_pairs(shared) if level == 0 else close_pairs(shared if last else shared.where(F.col("n") <= limit), scheme)
-        pairs = listed.select("a", "b", F.lit(False).alias("star"))
-        if not last:
-            stars = star_pairs(shared.where(F.col("n") > limit))
-            pairs = pairs.union(stars.select(F.col("pivot").alias("a"), F.col("node").alias("b"), F.lit(True).alias("star")))
-        pairs = pairs.groupBy("a", "b").agg(F.max("star").alias("star"))
-        pairs = materialise(pairs, "ngram-pairs")
-        if done is not None:  # a pair that was verified needs no second time, unless as a star
-            pairs = pairs.join(done.select("a", "b", F.lit(False).alias("star")), ["a", "b", "star"], "left_anti")
-        if texts is None:  # later levels have no other sets
-            need = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(one, "node")
-            need = materialise(need, "ngram-nodes")
-            n = need.count()
-            texts = materialise(_own(join_small(docs, need, "id", "inner", n).select("node", "text"), k), "ngram-texts")
-            ranks = spark.sparkContext.broadcast(token_ranks(texts, k))
-        found = materialise(verify(pairs, texts, k, scheme, ranks), "ngram-links")
-        linked = found.where("linked").select("a", "b")
-        links = linked if links is None else links.union(linked)
-        now = found.select("a", "b")
-        done = now if done is None else done.union(now)
-        if last or not found.where("diff IS NOT NULL").head(1):
+        hot = shared.where(F.col("n") > CLOSE)
+        stars = star_pairs(shared.where((F.col("n") > FEW) & (F.col("n") <= CLOSE))).select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b"))
+        finder.check(possible(few_pairs(shared).union(stars).distinct(), finder.info, scheme))
+        heat = hot.count()
+        more = level < LEVELS and heat > 0 and (before is None or 2 * heat <= before)
+        before = heat
+        if heat:
+            differ = finder.check(star_pairs(hot).select(F.col("pivot").alias("a"), F.col("node").alias("b")), star=True)
+        # the nearest in other components first (of large keys, in chunks), then whatever is left between components
+        rows = finder.placed(shared.where(F.col("n") > FEW), finder.labels())
+        if some := bool(rows.head(1)):
+            chunk = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / CHUNK))
+            finder.check(near_pairs(rows.withColumn("key", F.when(F.col("n") > CHUNK, F.xxhash64("key", chunk)).otherwise(F.col("key"))), scheme, nearest=True))
+        if some or more:
+            comps = finder.components()
+        if some and (rows := finder.placed(rows if not more else rows.where(F.col("n") <= CLOSE), comps)).head(1):
+            finder.check(near_pairs(rows.where(F.col("n") <= CLOSE), scheme, nearest=False).union(close_pairs(rows.where(F.col("n") > CLOSE), scheme)))
+        if not more:
             break
-        shared = materialise(several(next_keys(found.where("diff IS NOT NULL"))), "ngram-keys")
-    return links if links is not None else spark.createDataFrame([], "a long, b long")
+        shared = finder.keep(several(next_keys(differ, comps)), "ngram-keys")
+    out = materialise(finder.links().distinct(), "ngram-found")
+    finder.close()
+    return out
 
 
 def _own(texts: DataFrame, k: int) -> DataFrame:
@@ -382,7 +506,7 @@ def _own(texts: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes = batch.column("node").to_pylist()
-            yield batch.filter(pa.array([bool(len(s)) and set_hashes(s)[0] == n for n, s in zip(nodes, sets_of(batch.column("text"), k), strict=True)], pa.bool_()))
+            yield batch.filter(pa.array([bool(len(s)) and node_of(s) == n for n, s in zip(nodes, sets_of(batch.column("text"), k), strict=True)], pa.bool_()))
 
     return texts.mapInArrow(run, "node long, text string").dropDuplicates(["node"])
 
@@ -392,25 +516,31 @@ def components(docs: DataFrame, k: int, num: int, den: int, *, doc_id: str = "do
     spark = docs.sparkSession
     ship(spark)
     scheme = Scheme(num, den)
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+    rows = docs.select(named(doc_id).cast("long").alias("id"), named(text).alias("text"))
     sizes = materialise(shingle_sizes(rows, k), "ngram-sizes")
     links = find_links(rows, sizes, k, scheme)
     groups = connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
     smallest = sizes.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"))
-    named = smallest.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
-    lowest = named.groupBy("group").agg(F.min("id").alias("component_id"))
-    named = materialise(named.join(lowest, "group").select("node", "component_id"), "ngram-components")
-    out = sizes.join(named, "node", "left")
-    return out.select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+    grouped = smallest.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
+    lowest = grouped.groupBy("group").agg(F.min("id").alias("component_id"))
+    grouped = materialise(grouped.join(lowest, "group").select("node", "component_id"), "ngram-components")
+    discard(links)
+    discard(groups)
+    out = sizes.select("id", "n_shingles", "node").join(grouped, "node", "left")
+    out = out.select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+    out._parts = [sizes, grouped]  # for a caller that discards them
+    return out
 
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs whose id is the smallest of its component; rows with a null id or an empty set stay."""
     found = components(docs, k, num, den, doc_id=doc_id, text=text)
-    gone = materialise(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "ngram-gone")
+    gone = materialise(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone id")).distinct(), "ngram-gone")
+    for part in found._parts:
+        discard(part)
     n = gone.count()
     hinted = F.broadcast(gone) if n <= 1_000_000 else gone.hint("merge")
-    return docs.join(hinted, docs[doc_id].cast("long") == hinted["_gone"], "left_anti")
+    return docs.join(hinted, named(doc_id).cast("long") == hinted["gone id"], "left_anti")
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
