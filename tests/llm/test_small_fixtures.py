@@ -349,13 +349,42 @@ def test_warc_round_trip_and_assembly(spark, tmp_path):
     assert [r.type for r in read] == ["request", "response", "metadata"] and bytes(read[1].payload) == b"payload"
 
 
+def warc_rows(spark, rows):
+    """Records of (file, offset, identifier, type, identifiers they are concurrent to)."""
+    return spark.createDataFrame([(*r[:4], "u", "d", r[4], None, None, None, None, None, None) for r in rows], warc.RECORD)
+
+
 def test_records_that_point_at_their_request_are_assembled(spark):
-    rows = [("f", 0, "q", "request", None), ("f", 1, "r", "response", "q"), ("f", 2, "lone", "metadata", None)]
-    df = spark.createDataFrame([(*r[:4], "u", "d", r[4], None, None, None, None, None, None) for r in rows], warc.RECORD)
-    got = {c.capture_id: c for c in warc.assemble(df).collect()}
+    rows = [("f", 0, "q", "request", None), ("f", 1, "r", "response", ["q"]), ("f", 2, "lone", "metadata", [])]
+    got = {c.capture_id: c for c in warc.assemble(warc_rows(spark, rows)).collect()}
     assert set(got) == {"r", "lone"} and got["r"].request.record_id == "q" and got["lone"].response is None
 
 
+def test_captures_with_several_links_chains_and_metadata(spark):
+    rows = [
+        ("f", 0, "q1", "request", ["r1"]), ("f", 1, "r1", "response", None), ("f", 2, "m1", "metadata", ["r1"]), ("f", 3, "m2", "metadata", ["r1"]),  # two metadata records
+        ("f", 4, "m3", "metadata", ["q2"]), ("f", 5, "q2", "request", ["r2"]), ("f", 6, "r2", "response", None),  # a chain
+        ("f", 7, "r3", "response", ["q3", "m4"]), ("f", 8, "q3", "request", None), ("f", 9, "m4", "metadata", None),  # several links of one record
+        ("g", 0, "r4", "response", None), ("g", 1, "r4", "response", None), ("g", 2, "q5", "request", ["r4"]), ("g", 3, "q6", "request", ["r4"]), ("g", 4, "v", "revisit", None), ("g", 5, None, "metadata", ["v"]),
+    ]
+    for some, ids in ((rows, 6), (rows[:4] + rows[10:], 4)):
+        got = warc.assemble(warc_rows(spark, some)).collect()
+        assert len(got) == ids and sum(len(c.all_metadata) for c in got) == sum(r[3] == "metadata" for r in some)
+        by = {}
+        for c in got:
+            by.setdefault(c.capture_id, []).append((c.request and c.request.record_id, c.response.record_id, [m.record_id for m in c.all_metadata]))
+        assert by["r1"] == [("q1", "r1", ["m1", "m2"])] and by["v"] == [(None, "v", [None])]
+        assert sorted(by["r4"]) == [("q5", "r4", []), ("q6", "r4", [])]
+        if ids == 6:
+            assert by["r2"] == [("q2", "r2", ["m3"])] and by["r3"] == [("q3", "r3", ["m4"])]
+
+
+def test_repeated_header_fields_are_all_read():
+    data = warc.record("response", "<r>", "u", "d", [("WARC-Concurrent-To", "<a>"), ("WARC-Concurrent-To", "<b>")], b"x")
+    row = dict(zip(warc.NAMES, warc.parse("f", 0, data, True), strict=True))
+    assert row["concurrent_to"] == ["<a>", "<b>"] and row["record_id"] == "<r>"
+
+
 def test_language_id(spark):
     from pathlib import Path
 

@@ -6,7 +6,7 @@ captures with equal payloads of at least ``MIN_DEDUP`` bytes, the one with the l
 and the others revisit it.
 
 ``assemble`` joins records of one capture through concurrent-to identifiers, in whichever direction they
-point, and gives one nested row per capture.
+point and over any number of steps, and gives one nested row per capture.
 
 A writing task names its files for its own attempt and reports them; only reported files are read, so lost
 or repeated attempts leave nothing that counts. Readers stream: one record at a time is in memory.
@@ -14,7 +14,7 @@ or repeated attempts leave nothing that counts. Readers stream: one record at a
 Cases: null or empty html gives an empty payload, always a response; pages with a null id or a repeated row
 are captures of their own (null ids are never deduplicated, rows with the winning id are all responses); null
 urls are written as ``urn:none``; an empty table gives no files and no captures; records without partner give
-captures with null parts. Only the named columns are read.
+captures with null parts; a revisit whose response isn't in the archives has null size and target. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import join_small, materialise, scratch, ship, shuffle_partitions, table
+from .common import join_small, materialise, named, scratch, ship, shuffle_partitions, table
+from .components import connected_components
 from .token_files import open_fs
 
 MIN_DEDUP = 1000
@@ -39,11 +40,11 @@ LEVEL = 4
 DATE = "2000-01-01T00:00:00Z"
 MANIFEST = "path string, n_records long"
 RECORD = (
-    "path string, offset long, record_id string, type string, target_uri string, date string, concurrent_to string, refers_to string, "
+    "path string, offset long, record_id string, type string, target_uri string, date string, concurrent_to array<string>, refers_to string, "
     "declared_digest string, payload_bytes long, payload_digest string, fields map<string,string>, payload binary"
 )
 NAMES = [x.split()[0] for x in RECORD.replace("map<string,string>", "map").split(", ")]
-TYPES = [pa.string(), pa.int64(), *[pa.string()] * 7, pa.int64(), pa.string(), pa.map_(pa.string(), pa.string()), pa.binary()]
+TYPES = [pa.string(), pa.int64(), *[pa.string()] * 4, pa.list_(pa.string()), *[pa.string()] * 2, pa.int64(), pa.string(), pa.map_(pa.string(), pa.string()), pa.binary()]
 
 
 def urn(*parts: object) -> str:
@@ -98,7 +99,7 @@ def write_archives(pages: DataFrame, folder: str, *, page_id: str = "page_id", u
     """Writes all pages; the manifest of files."""
     spark = pages.sparkSession
     ship(spark)
-    rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).cast("binary").alias("payload"))
+    rows = pages.select(named(page_id).cast("long").alias("page_id"), named(url).alias("url"), F.coalesce(named(html), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
     large = rows.where(F.octet_length("payload") >= MIN_DEDUP).where("page_id IS NOT NULL").select("page_id", "digest")
     # one row per page, only of payloads that occur more than once
@@ -170,24 +171,29 @@ def members(source) -> Iterator[tuple[int, bytes]]:
         start, data = start + total, data[total:] or source.read(chunk)
 
 
-def headers_of(head: bytes) -> dict[str, str]:
-    """Header fields by lower-case name; folded lines joined; the first value of a repeated field."""
-    out: dict[str, str] = {}
-    last = None
+def header_list(head: bytes) -> list[tuple[str, str]]:
+    """Header fields in order, names in lower case; folded lines joined."""
+    out: list[tuple[str, str]] = []
     for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
-        if line[:1] in (" ", "\t") and last:
-            out[last] += " " + line.strip()
+        if line[:1] in (" ", "\t") and out:
+            out[-1] = (out[-1][0], out[-1][1] + " " + line.strip())
         elif ":" in line:
             k, v = line.split(":", 1)
-            last = k.strip().lower()
-            out.setdefault(last, v.strip())
+            out.append((k.strip().lower(), v.strip()))
     return out
 
 
+def headers_of(head: bytes) -> dict[str, str]:
+    """Header fields by lower-case name; the first value of a repeated field."""
+    return dict(reversed(header_list(head)))
+
+
 def parse(path: str, offset: int, data: bytes, with_payload: bool) -> tuple:
     """One row of RECORD."""
     head, _, rest = data.partition(b"\r\n\r\n")
-    h = headers_of(head)
+    fields_of = header_list(head)
+    h = dict(reversed(fields_of))
+    concurrent = [v for k, v in fields_of if k == "warc-concurrent-to" and v]
     block = rest[: int(h.get("content-length", 0))]
     kind, content = h.get("warc-type"), h.get("content-type", "")
     payload = block
@@ -202,7 +208,7 @@ def parse(path: str, offset: int, data: bytes, with_payload: bool) -> tuple:
     if whole and declared and declared != digest:
         raise ValueError(f"{path} at {offset}: the payload's digest is {digest}, declared is {declared}")
     return (
-        path, offset, h.get("warc-record-id"), kind, h.get("warc-target-uri"), h.get("warc-date"), h.get("warc-concurrent-to"), h.get("warc-refers-to"),
+        path, offset, h.get("warc-record-id"), kind, h.get("warc-target-uri"), h.get("warc-date"), concurrent, h.get("warc-refers-to"),
         declared, len(payload) if whole else None, digest, list(fields.items()), payload if whole and with_payload else None,
     )
 
@@ -237,19 +243,43 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def assemble(records: DataFrame) -> DataFrame:
     """capture_id and the nested request, response (or revisit, resource) and metadata records of each capture.
 
-    A request or metadata record belongs to the record that it is concurrent to; a main record that points at
-    its request draws it in. Records that share an identifier (repeated captures) are paired in file order.
+    Records are of one transaction if concurrent-to identifiers, of which a record may have several, join them in
+    either direction and over any number of steps: connected components, unless no record names several and none
+    that is named names another. Its identifier is that of its response
+    (the smallest, if several), else its smallest one. Of several requests or responses the nested ones are the
+    first in file order; ``metadata`` is the first metadata record and ``all_metadata`` all of them, in file order.
+    Responses that share an identifier are captures of their own, to which the other records go in file order. Records without identifier are
+    captures of their own; an identifier that names no record still joins those that name it.
     """
     main = F.col("type").isin("response", "revisit", "resource")
-    back = records.where(main & F.col("concurrent_to").isNotNull()).select(F.col("concurrent_to").alias("own"), F.col("record_id").alias("main_id")).dropDuplicates(["own"])
-    key = F.when(main, F.col("record_id")).otherwise(F.coalesce("concurrent_to", "record_id"))
-    keyed = records.withColumn("own", key).join(back, "own", "left").withColumn("capture_id", F.coalesce("main_id", "own")).drop("own", "main_id")
+    keyed = records.withColumn("own", F.coalesce("record_id", F.concat_ws(":", F.lit("none"), "path", F.col("offset").cast("string"))))
+    edges = keyed.select(F.col("own").alias("src"), F.explode("concurrent_to").alias("dst")).where("src <> dst").distinct()
+    # plain where no record that is pointed at points on, and none points at several
+    several = edges.groupBy("src").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("src")
+    onward = edges.select("src").join(edges.select(F.col("dst").alias("src")), "src", "left_semi")
+    if several.union(onward).head(1):
+        groups = connected_components(edges).select(F.col("node").alias("own"), F.col("component").alias("group"))
+        placed = keyed.join(groups, "own", "left").withColumn("group", F.coalesce("group", "own"))
+    else:
+        placed = keyed.withColumn("group", F.coalesce(F.get("concurrent_to", F.lit(0)), "own"))
     role = F.when(main, "main").otherwise(F.col("type"))
-    placed = keyed.withColumn("role", role).repartition(shuffle_partitions(records.sparkSession), "capture_id")
-    placed = placed.withColumn("copy", F.row_number().over(W.partitionBy("capture_id", "role").orderBy("path", "offset")))
-    whole = F.struct(*records.columns)
-    part = lambda name: F.max_by(F.when(F.col("role") == name, whole), F.when(F.col("role") == name, F.col("offset")))
-    return placed.groupBy("capture_id", "copy").agg(part("request").alias("request"), part("main").alias("response"), part("metadata").alias("metadata")).drop("copy")
+    placed = placed.withColumn("role", role).repartition(shuffle_partitions(records.sparkSession), "group")
+    # where an identifier stands for several captures, records of each kind are dealt to them in file order
+    same = F.count(F.when(F.col("role") == "main", True)).over(W.partitionBy("group", "role", "own"))
+    placed = placed.withColumn("same", same).withColumn("copies", F.greatest(F.lit(1), F.max("same").over(W.partitionBy("group"))))
+    nth = F.row_number().over(W.partitionBy("group", "role").orderBy("path", "offset")) - 1
+    n = F.count(F.lit(1)).over(W.partitionBy("group", "role"))
+    dealt = F.when(F.col("copies") == 1, 0).when(n >= F.col("copies"), F.floor(nth * F.col("copies") / n)).otherwise(nth)
+    placed = placed.withColumn("copy", dealt)
+    at = F.struct("path", "offset")
+    whole = F.struct(*(named(c) for c in records.columns))
+    part = lambda name: F.min_by(F.when(F.col("role") == name, whole), F.when(F.col("role") == name, at))
+    in_order = lambda x, y: F.when(x["at"] < y["at"], -1).when(x["at"] > y["at"], 1).otherwise(0)
+    every = F.transform(F.array_sort(F.collect_list(F.when(F.col("role") == "metadata", F.struct(at.alias("at"), whole.alias("record")))), in_order), lambda x: x["record"])
+    least = F.min(F.when(main, F.col("own")))
+    return placed.groupBy("group", "copy").agg(
+        F.coalesce(least, F.min("own")).alias("capture_id"), part("request").alias("request"), part("main").alias("response"), part("metadata").alias("metadata"), every.alias("all_metadata")
+    ).drop("group", "copy")
 
 
 def op5_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,7 +293,7 @@ def op5_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     flat = materialise(flat, "captures")
     kept = flat.where("record_type = 'response'").select(F.col("record_id").alias("target"), F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("full_bytes")).dropDuplicates(["target"])
-    revisits = flat.where("record_type = 'revisit'").join(kept, "target").select("page_id", F.col("full_bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
+    revisits = flat.where("record_type = 'revisit'").join(kept, "target", "left").select("page_id", F.col("full_bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
     others = flat.where("record_type = 'response'").select("page_id", "payload_bytes", "payload_digest", "record_type", F.lit(None).cast("long").alias("refers_to"))
     return others.union(revisits)
 
