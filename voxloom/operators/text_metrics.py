@@ -13,8 +13,12 @@ def words(text: Column) -> Column:
 
 
 def _encoded(tokens: Column, vocabulary: Column) -> Column:
-    """One character per token, from U+4E01 on: at most about 20,000 distinct tokens stay in one block of letters."""
-    one = lambda t: F.decode(F.unhex(F.lpad(F.hex(F.array_position(vocabulary, t).cast("int") + 0x4E00), 4, "0")), "UTF-16BE")
+    """One character per token, from U+0100 on without the surrogates: room for more than a million distinct tokens."""
+
+    def one(t: Column) -> Column:
+        n = F.array_position(vocabulary, t).cast("int") + 0xFF
+        return F.decode(F.unhex(F.lpad(F.hex(n + F.when(n < 0xD800, 0).otherwise(0x800)), 8, "0")), "UTF-32")
+
     return F.array_join(F.transform(tokens, one), "")
 
 

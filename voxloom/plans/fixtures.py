@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,7 +65,7 @@ def word_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
         length = ((i * 7 + turn * 3) % 10).cast("double") * 0.04
         return F.struct(F.when((i + turn) % 4 == 3, "").otherwise(F.lower(w)).alias("text"), (i.cast("double") * 0.25).alias("min_time"), (i.cast("double") * 0.25 + length).alias("max_time"), length.alias("duration"))
 
-    words = F.split(F.substring("text", 1, 120), " ")
+    words = F.split("text", " ")
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.transform(words, interval).alias("intervals"))
 
 
@@ -97,7 +95,7 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
     "v_word_intervals": ("""SELECT conv_id, turn, list_transform(w, lambda x, j: struct_pack(text := CASE WHEN (j - 1 + turn) % 4 = 3 THEN '' ELSE lower(x) END,
         min_time := CAST(j - 1 AS DOUBLE) * 25e-2, max_time := CAST(j - 1 AS DOUBLE) * 25e-2 + CAST(((j - 1) * 7 + turn * 3) % 10 AS DOUBLE) * 4e-2,
         duration := CAST(((j - 1) * 7 + turn * 3) % 10 AS DOUBLE) * 4e-2)) AS intervals
-        FROM (SELECT conv_id, turn, string_split(substr(text, 1, 120), ' ') AS w FROM conversations)""", ()),
+        FROM (SELECT conv_id, turn, string_split(text, ' ') AS w FROM conversations)""", ()),
     "v_laid_out": ("""SELECT f.doc_id, f.absolute_path, dirs, file, dirs[1] AS speaker, s.n AS n
         FROM (SELECT doc_id, absolute_path, list_filter(string_split(regexp_replace(substr(absolute_path, 6), '[^/]*$', ''), '/'), lambda x: x <> '') AS dirs,
                      regexp_replace(regexp_extract(absolute_path, '[^/]*$'), '\\.[^.]*$', '') || '.wav' AS file FROM v_audio_files) f
@@ -122,7 +120,3 @@ def sql(query: str) -> str:
     head = ",\n".join(f"{v} AS ({VIEWS[v][0]})" for v in need)
     stripped = query.lstrip()
     return f"WITH {head}, {stripped[5:]}" if stripped.upper().startswith("WITH ") else f"WITH {head}\n{query}"
-
-
-def union_all(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)

@@ -265,9 +265,9 @@ def _pcm(spark, sf_dir):
 _LIST = "list_transform(embedding, lambda x: CAST(x AS DOUBLE))"
 
 
-@query("snr_per_clip", f"SELECT vec_id, round(list_avg({_LIST}) / list_stddev_pop({_LIST}), 4) AS snr FROM embeddings")
+@query("snr_per_clip", f"SELECT vec_id, round(list_avg({_LIST}) / list_stddev_pop({_LIST}), 4) + 0e0 AS snr FROM embeddings")
 def _(spark, sf_dir):
-    return _pcm(spark, sf_dir).select("vec_id", F.round(signal.snr(F.col("embedding")), 4).alias("snr"))
+    return _pcm(spark, sf_dir).select("vec_id", (F.round(signal.snr(F.col("embedding")), 4) + F.lit(0.0)).alias("snr"))
 
 
 @query("snr_zero_std", "SELECT vec_id, 0e0 AS snr FROM embeddings")
@@ -280,14 +280,14 @@ def _(spark, sf_dir):
     return _pcm(spark, sf_dir).select("vec_id", F.round(signal.dbfs(F.col("embedding")), 4).alias("dbfs"))
 
 
-@query("deinterleave_channel0", "SELECT vec_id, CAST(unnest(range(0, 32)) AS INT) AS i, unnest(list_filter(embedding, lambda x, i: (i - 1) % 2 = 0)) AS x FROM embeddings WHERE vec_id % 2 = 1")
+@query("deinterleave_channel0", "SELECT vec_id, CAST(unnest(range(0, 32)) AS INT) AS i, unnest(list_filter(embedding, lambda x, i: (i - 1) % 2 = 0)) AS x FROM embeddings")
 def _(spark, sf_dir):
-    return _pcm(spark, sf_dir).where("vec_id % 2 = 1").select("vec_id", F.posexplode(signal.channel(F.col("embedding"), 2)).alias("i", "x"))
+    return _pcm(spark, sf_dir).select("vec_id", F.posexplode(signal.channel(F.col("embedding"), 2)).alias("i", "x"))
 
 
-@query("downmix_mono", "SELECT vec_id, CAST(unnest(range(0, 32)) AS INT) AS i, unnest(list_transform(range(1, 33), lambda j: (CAST(embedding[2 * j - 1] AS DOUBLE) + CAST(embedding[2 * j] AS DOUBLE)) / 2)) AS x FROM embeddings WHERE vec_id % 2 = 1")
+@query("downmix_mono", "SELECT vec_id, CAST(unnest(range(0, 32)) AS INT) AS i, unnest(list_transform(range(1, 33), lambda j: (CAST(embedding[2 * j - 1] AS DOUBLE) + CAST(embedding[2 * j] AS DOUBLE)) / 2)) AS x FROM embeddings")
 def _(spark, sf_dir):
-    return _pcm(spark, sf_dir).where("vec_id % 2 = 1").select("vec_id", F.posexplode(signal.downmix(F.col("embedding"), 2)).alias("i", "x"))
+    return _pcm(spark, sf_dir).select("vec_id", F.posexplode(signal.downmix(F.col("embedding"), 2)).alias("i", "x"))
 
 
 _CHUNKS = "SELECT vec_id, CAST(c AS INT) AS c, CAST(j AS INT) AS j, coalesce(embedding[c * 12 + j + 1], CAST(0 AS FLOAT)) AS x FROM embeddings, range(0, 6) a(c), range(0, 16) b(j)"
@@ -302,9 +302,9 @@ def _(spark, sf_dir):
     return _framed(spark, sf_dir).select("vec_id", "c", F.posexplode("chunk").alias("j", "x"))
 
 
-@query("chunk_zero_pad", f"SELECT vec_id, c, CAST(count(*) FILTER (x = 0) AS INT) AS zeros, CAST(count(*) AS INT) AS n FROM ({_CHUNKS}) WHERE c = 5 GROUP BY vec_id, c")
+@query("chunk_zero_pad", f"SELECT vec_id, c, CAST(count(*) FILTER (x = 0) AS INT) AS zeros, CAST(count(*) AS INT) AS n FROM ({_CHUNKS}) GROUP BY vec_id, c")
 def _(spark, sf_dir):
-    return _framed(spark, sf_dir).where("c = 5").select("vec_id", "c", F.size(F.filter("chunk", lambda x: x == 0)).alias("zeros"), F.size("chunk").alias("n"))
+    return _framed(spark, sf_dir).select("vec_id", "c", F.size(F.filter("chunk", lambda x: x == 0)).alias("zeros"), F.size("chunk").alias("n"))
 
 
 @query("peak_normalize_chunks", f"SELECT vec_id, c, j, round(CAST(x AS DOUBLE) / CASE WHEN p = 0 THEN 10e-7 ELSE p END, 6) AS x FROM (SELECT *, max(abs(CAST(x AS DOUBLE))) OVER (PARTITION BY vec_id, c) AS p FROM ({_CHUNKS}))")
@@ -319,10 +319,11 @@ def _(spark, sf_dir):
 
 
 # Alignments.
-@query("intervals_to_json", """SELECT conv_id, turn, CAST(len(intervals) AS INT) AS n, '[{"text":"' || replace(intervals[1].text, chr(10), '\\n') || '"' AS head FROM v_word_intervals""")
+@query("intervals_to_json", """SELECT conv_id, turn, CAST(j - 1 AS INT) AS i, x.text AS text, x.min_time AS min_time, x.max_time AS max_time, x.duration AS duration
+  FROM (SELECT conv_id, turn, unnest(range(1, len(intervals) + 1)) AS j, unnest(intervals) AS x FROM v_word_intervals)""")
 def _(spark, sf_dir):
-    text = alignment.to_json(F.col("intervals"))
-    return fixtures.word_intervals(spark, sf_dir).select("conv_id", "turn", F.size("intervals").alias("n"), F.regexp_extract(text, '^\\[\\{"text":"[^"]*"', 0).alias("head"))
+    read = F.from_json(alignment.to_json(F.col("intervals")), "array<struct<text:string,min_time:double,max_time:double,duration:double>>")
+    return fixtures.word_intervals(spark, sf_dir).select("conv_id", "turn", F.posexplode(read).alias("i", "x")).select("conv_id", "turn", "i", "x.*")
 
 
 _PAUSED = """SELECT conv_id, turn, replace(replace(regexp_replace(regexp_replace(regexp_replace(array_to_string(list_transform(intervals, lambda x, j:
