@@ -9,8 +9,10 @@ import re
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from voxloom.llm import char_lm, language_id, letters, toxicity
+from voxloom.llm.common import materialise
 
 
 def prose(rng, letters, words):
@@ -172,3 +174,50 @@ def test_features_are_counted_as_by_hand(spark):
         words = set(re.findall(r"[^\W\d_]+", restorer.restore(t or "")))
         want.update((f, y) for f in {f for w in words for f in toxicity.feature_keys([w])[0]})
     assert got == {f: (want[f, 1], want[f, 0]) for f, _ in want}
+
+
+def test_pipeline_keeps_what_its_stages_rules_say(spark):
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    extra = docs.withColumn("row", F.lit(1)).withColumn("a.b", F.lit("x"))
+    now = extra
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, now, sf)
+        assert after.columns == extra.columns, name
+        before, now = now, materialise(after, name)
+        kept, all_ = {r.doc_id for r in now.collect()}, {r.doc_id: r.text for r in before.select("doc_id", "text").collect()}
+        assert kept <= set(all_)
+        if name == "ngram_jaccard":
+            want = brute_smallest(all_)
+            assert kept == want
+        if name == "decontamination":
+            bench = [words(r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+            grams = {tuple(w[i : i + 10]) for w in bench for i in range(max(1, len(w) - 9)) if w}
+            sizes = {len(g) for g in grams}
+            hit = {i for i, t in all_.items() for w in [words(t)] for k in sizes if any(tuple(w[j : j + k]) in grams for j in range(len(w) - k + 1))}
+            assert kept == set(all_) - hit
+    last = corpus_pipeline.STAGES[-1][1](spark, now, sf).collect()
+    assert {r.doc_id for r in last} == kept and all(r.round_trip and r.parity for r in last)
+
+
+def words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def brute_smallest(texts):
+    """Smallest ids of the groups that five-word shingles of similarity 0.8 link."""
+    sets = {}
+    for i, t in texts.items():
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets[i] = {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set()
+    label = {i: i for i in texts}
+    for a, b in itertools.combinations(sorted(texts), 2):
+        x, y = sets[a], sets[b]
+        if x and y and 10 * min(len(x), len(y)) >= 8 * max(len(x), len(y)):
+            c = len(x & y)
+            if 10 * c >= 8 * (len(x) + len(y) - c) and label[a] != label[b]:
+                low, high = sorted((label[a], label[b]))
+                label = {i: low if g == high else g for i, g in label.items()}
+    return set(label.values())
