@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 500_000
 _R = U(0x9E3779B97F4A7C15)
 _Q = U(0xD6E8FEB86659FD93)
 

@@ -207,7 +207,7 @@ def index(rows: DataFrame, k: int, scheme: Scheme) -> DataFrame:
                 if node in seen:
                     continue
                 seen.add(node)
-                if len(seen) > 1_000_000:  # repeated keys do no harm
+                if len(seen) > 250_000:  # repeated keys do no harm
                     seen.clear()
                 keys.append(signatures(s, scheme))
                 nodes.append((node, len(keys[-1])))

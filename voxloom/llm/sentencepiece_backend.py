@@ -36,6 +36,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Threads of the library in one task.
 THREADS = 2
+#: Parts that a worker keeps: its process lives on in the stages that follow.
+KEEP = 400_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -158,7 +160,7 @@ class Worker:
         self.odd: set[str] = set()
         #: Whether the library can be asked part by part: it must leave a part's spaces alone and add one in front.
         self.by_part = self.backend.cuttable and self.backend.model.dummy_prefix and not self.backend.model.remove_extra_spaces and not self.backend.model.charsmap
-        self.cache = PieceCache(_CUT if self.backend.cuttable else lambda t: [t], self.encode_new)
+        self.cache = PieceCache(_CUT if self.backend.cuttable else lambda t: [t], self.encode_new, KEEP)
 
     def encode_new(self, parts: list[str]) -> list[bytes]:
         os.environ["TOKENIZERS_PARALLELISM"] = "true"

@@ -35,14 +35,14 @@ class _Known(dict):
 
 
 class PieceCache:
-    """encode_new: ids of pieces, as little-endian bytes; cut: the pieces of a text, in order."""
+    """encode_new: ids of pieces, as little-endian bytes; cut: the pieces of a text, in order; keep: pieces kept."""
 
-    def __init__(self, cut: Callable[[str], list[str]], encode_new: Callable[[list[str]], list[bytes]]):
-        self.cut, self.encode_new, self.known = cut, encode_new, _Known()
+    def __init__(self, cut: Callable[[str], list[str]], encode_new: Callable[[list[str]], list[bytes]], keep: int = KEEP):
+        self.cut, self.encode_new, self.keep, self.known = cut, encode_new, keep, _Known()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         pieces = [self.cut(t) for t in texts]
-        if len(self.known) > KEEP:
+        if len(self.known) > self.keep:
             self.known = _Known()
         known = self.known
         for p in pieces:
