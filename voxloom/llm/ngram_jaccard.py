@@ -455,11 +455,9 @@ class Finder:
         return out.withColumnRenamed("component", "comp")
 
     def placed(self, rows: DataFrame, comps: DataFrame) -> DataFrame:
-        """rows (key, node, n) with size, parity and component of the node, of keys in more than one component."""
+        """rows (key, node, n) with size, parity and component of the node. Keys in one component propose nothing."""
         nodes = self.info.select("node", "size", "parity").join(comps, "node", "left").select("node", "size", "parity", F.coalesce("comp", "node").alias("comp"))
-        rows = rows.select("key", "node", "n").join(nodes, "node")
-        apart = rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key")
-        return self.keep(rows.join(apart, "key", "left_semi"), "ngram-apart")
+        return rows.select("key", "node", "n").join(nodes, "node")
 
     def close(self) -> None:
         for df in self.scratch:
@@ -484,14 +482,18 @@ def find_links(docs: DataFrame, sizes: DataFrame, k: int, scheme: Scheme) -> Dat
         if heat:
             differ = finder.check(star_pairs(hot).select(F.col("pivot").alias("a"), F.col("node").alias("b")), star=True)
         # the nearest in other components first (of large keys, in chunks), then whatever is left between components
-        rows = finder.placed(shared.where(F.col("n") > FEW), finder.labels())
-        if some := bool(rows.head(1)):
+        large = shared.where(F.col("n") > FEW)
+        if some := bool(large.head(1)):
             chunk = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / CHUNK))
-            finder.check(near_pairs(rows.withColumn("key", F.when(F.col("n") > CHUNK, F.xxhash64("key", chunk)).otherwise(F.col("key"))), scheme, nearest=True))
+            rows = finder.placed(large.withColumn("key", F.when(F.col("n") > CHUNK, F.xxhash64("key", chunk)).otherwise(F.col("key"))), finder.labels())
+            finder.check(near_pairs(rows, scheme, nearest=True))
         if some or more:
             comps = finder.components()
-        if some and (rows := finder.placed(rows if not more else rows.where(F.col("n") <= CLOSE), comps)).head(1):
-            finder.check(near_pairs(rows.where(F.col("n") <= CLOSE), scheme, nearest=False).union(close_pairs(rows.where(F.col("n") > CLOSE), scheme)))
+        if some:
+            left = near_pairs(finder.placed(large.where(F.col("n") <= CLOSE), comps), scheme, nearest=False)
+            if heat and not more:
+                left = left.union(close_pairs(finder.placed(hot, comps), scheme))
+            finder.check(left)
         if not more:
             break
         shared = finder.keep(several(next_keys(differ, comps)), "ngram-keys")
