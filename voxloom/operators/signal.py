@@ -54,10 +54,15 @@ def chunks(samples: Column, length: int, overlap: int) -> Column:
     return F.when(F.size(samples) > 0, F.transform(starts, lambda i: padded(F.slice(samples, i + 1, F.lit(length)))))
 
 
+#: Divisor of silent chunks; roll-off and Kaiser beta of the resampler.
+SILENCE = 10e-7
+ROLLOFF, BETA = 0.9475937167399596, 14.769656459379492
+
+
 def peak_normalize(chunk: Column) -> Column:
     """Divided by the largest absolute sample, or by 1e-6 in silence."""
     peak = F.array_max(F.transform(chunk, lambda x: F.abs(x.cast("double"))))
-    return let(F.when(peak == 0, 10e-7).otherwise(peak), lambda p: F.transform(chunk, lambda x: x.cast("double") / p))
+    return let(F.when(peak == 0, SILENCE).otherwise(peak), lambda p: F.transform(chunk, lambda x: x.cast("double") / p))
 
 
 def overlap_add(rows: DataFrame, key: str, length: int, overlap: int) -> DataFrame:
@@ -72,7 +77,7 @@ def overlap_add(rows: DataFrame, key: str, length: int, overlap: int) -> DataFra
     return placed.where("pos < n").groupBy(key, "pos").agg(F.sum("v").alias("value"))
 
 
-def resample_array(x: np.ndarray, source: int, target: int, width: int = 64, rolloff: float = 0.9475937167399596, beta: float = 14.769656459379492) -> np.ndarray:
+def resample_array(x: np.ndarray, source: int, target: int, width: int = 64, rolloff: float = ROLLOFF, beta: float = BETA) -> np.ndarray:
     """Windowed-sinc (Kaiser) resampling."""
     if source == target or not len(x):
         return np.asarray(x, np.float64)
