@@ -54,6 +54,12 @@ def chunks(samples: Column, length: int, overlap: int) -> Column:
     return F.when(F.size(samples) > 0, F.transform(starts, lambda i: padded(F.slice(samples, i + 1, F.lit(length)))))
 
 
+def pieces(samples: Column, length: int) -> Column:
+    """Consecutive pieces of ``length`` samples, the last as long as what is left; null without samples."""
+    starts = F.sequence(F.lit(0), F.size(samples) - 1, F.lit(length))
+    return F.when(F.size(samples) > 0, F.transform(starts, lambda i: F.slice(samples, i + 1, F.lit(length))))
+
+
 #: Divisor of silent chunks; roll-off and Kaiser beta of the resampler.
 SILENCE = 10e-7
 ROLLOFF, BETA = 0.9475937167399596, 14.769656459379492
