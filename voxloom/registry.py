@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import strings
-from .operators import alignment, caps, incremental, layout, models, signal, text_metrics
+from .operators import alignment, caps, incremental, layout, lookups, models, signal, text_metrics
 from .plans import fixtures
 from .plans.config import DEFAULT
 from .plans.filter_dataset import filter_dataset, with_text
@@ -405,6 +405,46 @@ def _(spark, sf_dir):
     return texts.merge_transcripts(fixtures.table(spark, sf_dir, "documents").select(line.alias("value"), (d % 3).alias("priority")))
 
 
+# Lookups of whole texts, splits and pieces.
+@query("text_lookup_left", "SELECT e.event_id, md5(d.text) AS text_md5 FROM events e LEFT JOIN documents d ON d.doc_id = e.event_id")
+def _(spark, sf_dir):
+    clips, known = fixtures.table(spark, sf_dir, "events").select("event_id"), fixtures.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("event_id"), "text")
+    return lookups.lookup(clips, known, "event_id").select("event_id", F.md5("text").alias("text_md5"))
+
+
+@query("text_lookup_strict", "SELECT d.doc_id, md5(d.text) AS text_md5, e.user_id FROM documents d JOIN events e ON e.event_id = d.doc_id")
+def _(spark, sf_dir):
+    docs, users = fixtures.table(spark, sf_dir, "documents"), fixtures.table(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"), "user_id")
+    return lookups.lookup_strict(docs.select("doc_id", F.md5("text").alias("text_md5")), users, "doc_id", "user_id")
+
+
+@query("text_lookup_fill", "SELECT e.event_id, md5(CASE WHEN e.event_id % 3 = 0 THEN e.event_type ELSE d.text END) AS text_md5 FROM events e LEFT JOIN documents d ON d.doc_id = e.event_id")
+def _(spark, sf_dir):
+    own = F.when(F.col("event_id") % 3 == 0, F.col("event_type"))
+    clips, known = fixtures.table(spark, sf_dir, "events").select("event_id", own.alias("text")), fixtures.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("event_id"), "text")
+    return lookups.fill(clips, known, "event_id").select("event_id", F.md5("text").alias("text_md5"))
+
+
+@query("mls_target_path", """SELECT doc_id, concat('speaker_', CAST(doc_id % 7 AS VARCHAR), '/wavs/', CASE doc_id % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'dev' ELSE 'test' END,
+  '/', CAST(doc_id % 9 AS VARCHAR), '/', source, '_', CAST(doc_id AS VARCHAR), '.wav') AS path_to_wav FROM documents""")
+def _(spark, sf_dir):
+    d = F.col("doc_id")
+    split = F.when(d % 3 == 0, "train").when(d % 3 == 1, "dev").otherwise("test")
+    path = F.concat(F.lit("/mls/"), split, F.lit("/audio/"), F.col("source"), F.lit("/"), (d % 9).cast("string"), F.lit("/"), F.col("source"), F.lit("_"), d.cast("string"), F.lit(".opus"))
+    parts = layout.audiobook_path(F.col("path"))
+    target = layout.audiobook_target(d % 7, layout.checked_split(parts["split"]), parts["book"], parts["file_name"])
+    return fixtures.table(spark, sf_dir, "documents").select("doc_id", path.alias("path")).select("doc_id", target.alias("path_to_wav"))
+
+
+@query("split_long_audio", f"""SELECT vec_id, i, CAST(len(x) AS INT) AS n, round(list_sum(x), 5) AS total, round(x[1], 6) AS first, round(x[len(x)], 6) AS last FROM (
+  SELECT vec_id, i, {_LIST}[i * 24 + 1 : i * 24 + 24] AS x FROM (SELECT vec_id, embedding, CAST(unnest(range(0, CAST(ceil(len(embedding) / 24.0) AS BIGINT))) AS INT) AS i FROM embeddings))""")
+def _(spark, sf_dir):
+    x = F.transform("piece", lambda v: v.cast("double"))
+    cut = _pcm(spark, sf_dir).select("vec_id", F.posexplode(signal.pieces(F.col("embedding"), 24)).alias("i", "piece")).withColumn("x", x)
+    total = F.aggregate("x", F.lit(0.0), lambda a, v: a + v)
+    return cut.select("vec_id", "i", F.size("x").alias("n"), F.round(total, 5).alias("total"), F.round(F.element_at("x", 1), 6).alias("first"), F.round(F.element_at("x", -1), 6).alias("last"))
+
+
 # Models and signal processing that SQL can't say.
 @query("asr_fake_model_batches")
 def _(spark, sf_dir):
