@@ -21,15 +21,14 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Every catalogue table, lazily."""
     events, docs = table(spark, sf_dir, "events"), table(spark, sf_dir, "documents")
     e = F.col("event_id")
-    ascii_docs = docs.where((F.col("lang") == "en") & (F.octet_length("text") == F.char_length("text")))
-    timed = ascii_docs.join(events.select(e.alias("doc_id"), "value"), "doc_id")
-    start = F.substring("text", 1, 200)
-    heard = F.replace(F.replace(start, F.lit(" the "), F.lit(" ")), F.lit("on"), F.lit("in"))
+    timed = docs.join(events.select(e.alias("doc_id"), "value"), "doc_id")
+    heard = F.replace(F.replace("text", F.lit(" the "), F.lit(" ")), F.lit("er"), F.lit("ar"))
 
     def texts(rows: DataFrame, text) -> DataFrame:
         return rows.select(_hash("doc_id").alias("audio_md5_hash"), text.alias("text"), (F.length(text) / F.col("value")).alias("cps"))
 
-    original, recognised = texts(timed.where("doc_id % 3 <> 0"), start), texts(timed.where("doc_id % 4 <> 0"), heard)
+    # Every document was recognised; those with labels have an original text.
+    original, recognised = texts(timed.join(table(spark, sf_dir, "labels"), "doc_id", "left_semi"), F.col("text")), texts(timed, heard)
     pairs = original.select("audio_md5_hash", F.col("text").alias("r")).join(recognised.select("audio_md5_hash", F.col("text").alias("h")), "audio_md5_hash")
     return {
         "audio_to_dataset": events.select(
@@ -78,18 +77,10 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
         CAST(CASE event_id % 3 WHEN 0 THEN 44100 WHEN 1 THEN 22050 ELSE 16000 END AS INT) AS sample_rate, CAST(CASE WHEN event_id % 5 = 0 THEN 2 ELSE 1 END AS INT) AS channels,
         CASE WHEN event_id % 11 = 0 THEN 'PCM_24' ELSE 'PCM_16' END AS pcm_format, CAST(event_id % 200 AS DOUBLE) / 1e1 - 5e0 AS SNR,
         -CAST(event_id % 600 AS DOUBLE) / 1e1 AS dBFS FROM events WHERE event_id % 13 <> 0""", ()),
-    "v_ascii_docs": ("SELECT * FROM documents WHERE lang = 'en' AND strlen(text) = length(text)", ()),
-    "v_audio_to_original_text": ("""SELECT md5(CAST(d.doc_id AS VARCHAR)) AS audio_md5_hash, substr(d.text, 1, 200) AS text, length(substr(d.text, 1, 200)) / e.value AS cps
-        FROM v_ascii_docs d JOIN events e ON e.event_id = d.doc_id WHERE d.doc_id % 3 <> 0""", ("v_ascii_docs",)),
-    "v_audio_to_asr_text": ("""SELECT md5(CAST(d.doc_id AS VARCHAR)) AS audio_md5_hash, replace(replace(substr(d.text, 1, 200), ' the ', ' '), 'on', 'in') AS text,
-        length(replace(replace(substr(d.text, 1, 200), ' the ', ' '), 'on', 'in')) / e.value AS cps
-        FROM v_ascii_docs d JOIN events e ON e.event_id = d.doc_id WHERE d.doc_id % 4 <> 0""", ("v_ascii_docs",)),
-    "v_text_comparation_metrics": ("""SELECT audio_md5_hash, CAST(levenshtein(array_to_string(list_transform(rw, lambda x: chr(CAST(list_position(v, x) AS INT))), ''),
-          array_to_string(list_transform(hw, lambda x: chr(CAST(list_position(v, x) AS INT))), '')) AS DOUBLE) / len(rw) AS WER,
-          CAST(levenshtein(trim(r), trim(h)) AS DOUBLE) / length(trim(r)) AS CER
-        FROM (SELECT *, list_distinct(list_concat(rw, hw)) AS v FROM (
-          SELECT o.audio_md5_hash, o.text AS r, a.text AS h, list_filter(string_split(o.text, ' '), lambda x: x <> '') AS rw, list_filter(string_split(a.text, ' '), lambda x: x <> '') AS hw
-          FROM v_audio_to_original_text o JOIN v_audio_to_asr_text a ON o.audio_md5_hash = a.audio_md5_hash) WHERE len(rw) > 0)""", ("v_audio_to_original_text", "v_audio_to_asr_text")),
+    "v_audio_to_original_text": ("""SELECT md5(CAST(d.doc_id AS VARCHAR)) AS audio_md5_hash, d.text, length(d.text) / e.value AS cps
+        FROM documents d JOIN events e ON e.event_id = d.doc_id WHERE d.doc_id IN (SELECT doc_id FROM labels)""", ()),
+    "v_audio_to_asr_text": ("""SELECT audio_md5_hash, text, length(text) / value AS cps FROM (SELECT md5(CAST(d.doc_id AS VARCHAR)) AS audio_md5_hash,
+        replace(replace(d.text, ' the ', ' '), 'er', 'ar') AS text, e.value FROM documents d JOIN events e ON e.event_id = d.doc_id)""", ()),
     "v_audio_files": ("""SELECT doc_id, concat('/raw/', CASE WHEN doc_id % 4 = 0 THEN '' ELSE concat(source, '/') END, CASE WHEN doc_id % 6 = 1 THEN concat(lang, '/') ELSE '' END,
         'f', CAST(doc_id % 37 AS VARCHAR), CASE doc_id % 3 WHEN 0 THEN '.mp3' WHEN 1 THEN '.wav' ELSE '.flac' END) AS absolute_path FROM documents""", ()),
     "v_word_intervals": ("""SELECT conv_id, turn, list_transform(w, lambda x, j: struct_pack(text := CASE WHEN (j - 1 + turn) % 4 = 3 THEN '' ELSE lower(x) END,
