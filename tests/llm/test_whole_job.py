@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from voxloom.llm import char_lm, language_id, letters, toxicity
+from voxloom.llm import char_lm, language_id, letters, ngram_jaccard, toxicity
 from voxloom.llm.common import materialise
 
 
@@ -221,3 +221,68 @@ def brute_smallest(texts):
                 low, high = sorted((label[a], label[b]))
                 label = {i: low if g == high else g for i, g in label.items()}
     return set(label.values())
+
+
+def test_long_texts_with_a_common_line_are_not_compared_in_pairs(spark, monkeypatch):
+    """Parities tell nothing about sets of this size, so every pair proposed is a pair of texts fetched."""
+    rng = random.Random(11)
+    line = " ".join(f"line{i}" for i in range(30))
+    known = [f"w{i}" for i in range(5000)]
+    say = lambda n: " ".join(rng.choices(known, k=n))
+    rows = [(i, f"{say(rng.randint(600, 900))} {line} {say(rng.randint(600, 900))}") for i in range(240)]
+    rows += [(1000 + i, " ".join("x" if rng.random() < 0.01 else w for w in t.split())) for i, t in rows[:20]]
+    fetched = []
+    verify = ngram_jaccard.verify
+    monkeypatch.setattr(ngram_jaccard, "verify", lambda pairs, *a: fetched.append(pairs.count()) or verify(pairs, *a))
+    monkeypatch.setattr(ngram_jaccard, "FEW", 3)
+    got = {r.doc_id: r.component_id for r in ngram_jaccard.components(spark.createDataFrame(rows, "doc_id long, text string"), 5, 8, 10).collect()}
+    kept = brute_smallest(dict(rows))
+    assert {i for i, c in got.items() if i == c} == kept and all(got[1000 + i] == i for i in range(20) if 1000 + i not in kept)
+    assert sum(fetched) < 100
+
+
+def test_linked_sets_share_a_key_that_neither_gives_up():
+    """Whatever other sets make popular."""
+    rng = np.random.default_rng(6)
+    spared = 0
+    for num, den in ((9, 10), (8, 10), (1, 2)):
+        scheme = ngram_jaccard.Scheme(num, den)
+        for _ in range(150):
+            x = np.unique(rng.integers(1, 1 << 62, int(rng.integers(1, 900)), dtype=np.uint64))
+            n = int(rng.integers(0, scheme.reach(len(x)) + 1))
+            gone = int(rng.integers(0, n + 1))
+            y = np.unique(np.concatenate([rng.permutation(x)[gone:], rng.integers(1, 1 << 62, n - gone, dtype=np.uint64)]))
+            if not scheme.linked(len(np.intersect1d(x, y)), len(x), len(y)):
+                continue
+            lists = [[(k.tolist(), name) for k, name in ngram_jaccard.signature_lists(s, scheme)] for s in (x, y)]
+            common = {k for keys, _ in lists[0] for k in keys} & {k for keys, _ in lists[1] for k in keys}
+            # the worst case: what they share is more popular than anything else
+            order = {k: (k not in common, rng.random()) for some in lists for keys, _ in some for k in keys}
+            left = [{k for keys, name in some for k in sorted(keys, key=order.get)[name >> ngram_jaccard.BAND_BITS :]} for some in lists]
+            spared += len(order) - len(left[0] | left[1])
+            assert left[0] & left[1]
+    assert spared
+
+
+def test_spare_keys_are_those_that_most_sets_share(spark):
+    keyed = [(1, n, 2 << ngram_jaccard.BAND_BITS) for n in range(5)] + [(2, n, 2 << ngram_jaccard.BAND_BITS) for n in range(4)] + [(k, n, 2 << ngram_jaccard.BAND_BITS) for k in (3, 4) for n in range(2)] + [(1, 9, 3), (5, 9, 3)]
+    shared = ngram_jaccard.several(spark.createDataFrame(keyed, "key long, node long, list long"))
+    assert sorted(map(tuple, ngram_jaccard.needed(shared).collect())) == [(3, 0, 2), (3, 1, 2), (4, 0, 2), (4, 1, 2)]
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    import time
+
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f.getName() for f in (lambda s: (s.apply(i) for i in range(s.size())))(manager.getAllFiles()) if f.getName().startswith("shuffle_")}
+    before = files()
+    conf = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(conf, None)
+    assert materialise(spark.range(1000).repartition(3, "id"), "freed", free=True).count() == 1000
+    for _ in range(50):
+        if not [f for f in files() - before if f.endswith(".data")]:
+            break
+        time.sleep(0.2)
+    else:
+        raise AssertionError("shuffle files stay")
+    assert spark.conf.get(conf, None) == was

@@ -20,6 +20,7 @@ _SHIPPED: set[str] = set()
 #: Rows of one Arrow batch, unless the session says otherwise: batches of whole texts are held several times over.
 BATCH_ROWS = 1000
 _BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,11 +71,23 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/voxloom-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage and survives the loss of executors."""
+def materialise(df: DataFrame, name: str, free: bool = False) -> DataFrame:
+    """Write to the shared folder and read back: cuts lineage and survives the loss of executors.
+
+    free: the write's shuffle files go with its end; else they stay until the driver happens to collect its garbage.
+    """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP_CONF, None)
+    if free:
+        spark.conf.set(_CLEANUP_CONF, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if free and before is None:
+            spark.conf.unset(_CLEANUP_CONF)
+        elif free:
+            spark.conf.set(_CLEANUP_CONF, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out

@@ -37,12 +37,12 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Edges with a null end and loops count for nothing. Every round is written to the shared folder, and the one before it removed. Rounds
     grow with the logarithm of the longest path; ``max_rounds`` only guards against a fault and raises.
     """
-    now = materialise(edges.select("src", "dst").where("src <> dst").distinct(), "edges")
+    now = materialise(edges.select("src", "dst").where("src <> dst").distinct(), "edges", free=True)
     mark = _mark(now)
     for _ in range(max_rounds):
         if not mark[0]:
             break
-        last, now = now, materialise(_star(_star(now, large=True), large=False), "edges")
+        last, now = now, materialise(_star(_star(now, large=True), large=False), "edges", free=True)
         discard(last)
         before, mark = mark, _mark(now)
         if before == mark:

@@ -12,6 +12,11 @@ agrees with the partner's. A set that falls short is indexed once more, in a lis
 segments, empty ones included, and for as many segments as it lacks all neighbourhoods of one deletion
 (allocated 2). A pair of which at most one falls short meets in the first index, others in the second.
 
+Spare keys. A set with F full segments in a band, of which any partner can differ in at most H, agrees with each partner
+in F - H of them at least. So it gives up the F - H - 1 keys that most sets share (ties: the least key). The order is the
+same for all sets, so what either of two linked sets gives up of their common keys are the first ones of these, fewer
+than they have. Long texts that only have a common line in one segment lose such keys; each key is counted again then.
+
 Only what connects is looked for: a pair whose sets are known to be in one component needs no check. Pairs are proposed
 from keys and dropped, before any text is fetched, where their parities differ too much: the parity of the number of
 tokens in each of ``PARITY`` slots differs between two sets in at most as many slots as the sets differ in tokens.
@@ -61,6 +66,8 @@ from .components import connected_components
 U = np.uint64
 #: Upper end of a size band over its lower end.
 BAND = 1.5
+#: Bits that hold a band's number.
+BAND_BITS = 7
 #: Levels of pivots for hot keys.
 LEVELS = 6
 #: Sets of one key up to which parities are compared with each other.
@@ -126,6 +133,11 @@ class Scheme:
 
 def signatures(tokens: np.ndarray, scheme: Scheme) -> np.ndarray:
     """Keys of one set."""
+    return np.concatenate([keys for keys, _ in signature_lists(tokens, scheme)])
+
+
+def signature_lists(tokens: np.ndarray, scheme: Scheme) -> list[tuple[np.ndarray, int]]:
+    """Keys of one set by list, each with the list's name: spare keys << BAND_BITS, plus the band."""
     out = []
     with np.errstate(over="ignore"):
         for band in scheme.bands(len(tokens)):
@@ -138,11 +150,11 @@ def signatures(tokens: np.ndarray, scheme: Scheme) -> np.ndarray:
             start = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
             sums = np.add.reduceat(content, start)
             full = segment[start]
-            out.append(bw.mix(sums + bw.mix(full + salt)))
             most = min(h, scheme.reach(len(tokens)))
+            out.append((bw.mix(sums + bw.mix(full + salt)), max(0, len(full) - most - 1) << BAND_BITS | band))
             if len(full) <= most:
-                out.append(_short(content, segment, full, sums, most, m, salt))
-    return np.concatenate(out)
+                out.append((_short(content, segment, full, sums, most, m, salt), band))
+    return out
 
 
 def _short(content: np.ndarray, segment: np.ndarray, full: np.ndarray, sums: np.ndarray, h: int, m: int, salt: np.uint64) -> np.ndarray:
@@ -194,12 +206,12 @@ def shingle_sizes(rows: DataFrame, k: int) -> DataFrame:
 
 
 def index(rows: DataFrame, k: int, scheme: Scheme) -> DataFrame:
-    """(key, node) of each set, once for each set that a task has seen."""
+    """(key, node, list) of each set, once for each set that a task has seen. list: see signature_lists."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            keys, nodes, size = [], [], 0
+            lists, nodes, size = [], [], 0
             for s in sets_of(batch.column("text"), k):
                 if not len(s):
                     continue
@@ -209,29 +221,37 @@ def index(rows: DataFrame, k: int, scheme: Scheme) -> DataFrame:
                 seen.add(node)
                 if len(seen) > 250_000:  # repeated keys do no harm
                     seen.clear()
-                keys.append(signatures(s, scheme))
-                nodes.append((node, len(keys[-1])))
-                size += len(keys[-1])
+                for some in signature_lists(s, scheme):
+                    lists.append(some)
+                    nodes.append(node)
+                    size += len(some[0])
                 if size > 200_000:
-                    yield _keyed(keys, nodes)
-                    keys, nodes, size = [], [], 0
-            if keys:
-                yield _keyed(keys, nodes)
+                    yield _keyed(lists, nodes)
+                    lists, nodes, size = [], [], 0
+            if lists:
+                yield _keyed(lists, nodes)
 
-    return rows.mapInArrow(run, "key long, node long")
+    return rows.mapInArrow(run, "key long, node long, list long")
 
 
-def _keyed(keys: list[np.ndarray], nodes: list[tuple[int, int]]) -> pa.RecordBatch:
-    values = np.repeat(np.array([n for n, _ in nodes], np.int64), [c for _, c in nodes])
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(values)], ["key", "node"])
+def _keyed(lists: list[tuple[np.ndarray, int]], nodes: list[int]) -> pa.RecordBatch:
+    sizes = [len(keys) for keys, _ in lists]
+    columns = [np.concatenate([keys for keys, _ in lists]).view(np.int64), np.repeat(np.array(nodes, np.int64), sizes), np.repeat(np.array([name for _, name in lists], np.int64), sizes)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "node", "list"])
 
 
 def several(keyed: DataFrame) -> DataFrame:
-    """(key, node, n) of keys that n > 1 sets share."""
+    """keyed, once for each (key, node), and n, of keys that n > 1 sets share."""
     own = keyed.repartition(shuffle_partitions(keyed.sparkSession), "key").dropDuplicates(["key", "node"])
     return own.withColumn("n", F.count(F.lit(1)).over(W.partitionBy("key"))).where("n > 1")
 
 
+def needed(shared: DataFrame) -> DataFrame:
+    """(key, node, n) without the spare keys of each (node, list), those that most sets share. Keys of one set are left out of ``shared``, as they come last."""
+    rank = F.row_number().over(W.partitionBy("node", "list").orderBy(F.desc("n"), "key"))
+    return several(shared.withColumn("rank", rank).where(F.col("rank") > F.shiftright("list", BAND_BITS)).select("key", "node"))
+
+
 def few_pairs(shared: DataFrame) -> DataFrame:
     """(a, b), a < b, of all keys with at most FEW sets."""
     some = shared.where(F.col("n") <= FEW).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("all"))  # at most FEW each
@@ -414,7 +434,7 @@ class Finder:
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """A table that goes with the finder."""
-        out = materialise(df, name)
+        out = materialise(df, name, free=True)
         self.scratch.append(out)
         return out
 
@@ -469,7 +489,7 @@ class Finder:
 def find_links(docs: DataFrame, sizes: DataFrame, k: int, scheme: Scheme) -> DataFrame:
     """(a, b) nodes of links that connect all that is connected. docs: (id, text); sizes: its shingle_sizes."""
     finder = Finder(docs, sizes, k, scheme)
-    shared = finder.keep(several(index(docs.select("text"), k, scheme)), "ngram-keys")
+    shared = finder.keep(needed(several(index(docs.select("text"), k, scheme))), "ngram-keys")
     finder.start(shared)
     before = None
     for level in range(LEVELS + 1):
@@ -497,7 +517,7 @@ def find_links(docs: DataFrame, sizes: DataFrame, k: int, scheme: Scheme) -> Dat
         if not more:
             break
         shared = finder.keep(several(next_keys(differ, comps)), "ngram-keys")
-    out = materialise(finder.links().distinct(), "ngram-found")
+    out = materialise(finder.links().distinct(), "ngram-found", free=True)
     finder.close()
     return out
 
@@ -525,7 +545,7 @@ def components(docs: DataFrame, k: int, num: int, den: int, *, doc_id: str = "do
     smallest = sizes.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"))
     grouped = smallest.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
     lowest = grouped.groupBy("group").agg(F.min("id").alias("component_id"))
-    grouped = materialise(grouped.join(lowest, "group").select("node", "component_id"), "ngram-components")
+    grouped = materialise(grouped.join(lowest, "group").select("node", "component_id"), "ngram-components", free=True)
     discard(links)
     discard(groups)
     out = sizes.select("id", "n_shingles", "node").join(grouped, "node", "left")
@@ -537,7 +557,7 @@ def components(docs: DataFrame, k: int, num: int, den: int, *, doc_id: str = "do
 def keep_one(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs whose id is the smallest of its component; rows with a null id or an empty set stay."""
     found = components(docs, k, num, den, doc_id=doc_id, text=text)
-    gone = materialise(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone id")).distinct(), "ngram-gone")
+    gone = materialise(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone id")).distinct(), "ngram-gone", free=True)
     for part in found._parts:
         discard(part)
     n = gone.count()
