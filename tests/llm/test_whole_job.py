@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from voxloom.llm import char_lm, language_id, letters, ngram_jaccard, toxicity
+from voxloom.llm import char_lm, common, language_id, letters, ngram_jaccard, toxicity
 from voxloom.llm.common import materialise
 
 
@@ -286,3 +286,13 @@ def test_shuffle_files_go_with_the_write(spark):
     else:
         raise AssertionError("shuffle files stay")
     assert spark.conf.get(conf, None) == was
+
+
+def test_a_worker_keeps_one_thing():
+    made = []
+    first = common.held("a", lambda: made.append(1) or object())
+    assert common.held("a", lambda: made.append(1) or object()) is first and len(made) == 1
+    common.held("b", object)
+    assert list(common._HELD) == ["b"]
+    common.let_go()
+    assert not common._HELD

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialise, ship
+from .common import discard, let_go, materialise, ship
 from .letters import codes_of, laid_out, small_letters, text_blocks
 
 U = np.uint64
@@ -72,6 +72,7 @@ def count_grams(docs: DataFrame, label: str, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(some)), pa.array(some.view(np.int64)), pa.array(n[i : i + 200_000])], ["label", "gram", "n"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         held: dict[str, list] = {}
         size = 0
         for batch in batches:

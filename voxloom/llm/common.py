@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 import pyarrow as pa
@@ -49,6 +51,27 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+#: What this Python worker keeps from task to task, by name.
+_HELD: dict[object, object] = {}
+
+
+def held(name: object, make: Callable[[], object]) -> object:
+    """What a worker keeps under a name. Only one thing is kept, as workers go on from one operator to the next."""
+    if name not in _HELD:
+        let_go()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
+def let_go() -> None:
+    """Drops what this worker keeps and gives freed memory back to the system, which allocators otherwise hold on to."""
+    _HELD.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A folder that the driver and all executors see.
 

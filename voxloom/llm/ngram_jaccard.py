@@ -60,7 +60,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
-from .common import discard, join_small, materialise, named, ship, shuffle_partitions, table
+from .common import discard, join_small, let_go, materialise, named, ship, shuffle_partitions, table
 from .components import connected_components
 
 U = np.uint64
@@ -194,6 +194,7 @@ def shingle_sizes(rows: DataFrame, k: int) -> DataFrame:
     """id, n_shingles, node (a hash of the set; null for an empty one) and the set's parities, of each row of (id, text)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             sizes, nodes, odd = [], [], []
             for s in sets_of(batch.column("text"), k):
@@ -209,6 +210,7 @@ def index(rows: DataFrame, k: int, scheme: Scheme) -> DataFrame:
     """(key, node, list) of each set, once for each set that a task has seen. list: see signature_lists."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         seen: set[int] = set()
         for batch in batches:
             lists, nodes, size = [], [], 0
@@ -384,6 +386,7 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int, scheme: Scheme, ranks=Non
     """(a, b, linked, diff) of pairs (a, b, star): diff for stars, the first differences of b from a, as far as they can matter."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         sets = _Sets(k)
         rank = None if ranks is None else ranks.value
         for batch in batches:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_row, part_of, row_schema, ship, table
+from .common import as_row, held, part_of, row_schema, ship, table
 from .word_cache import PieceCache
 
 MARK = "▁"
@@ -126,6 +126,7 @@ class Backend:
             steps.append(normalizers.Prepend(" "))
         self.normalizer = normalizers.Sequence([*steps, normalizers.Replace(" ", MARK)])
         self.tokenizer.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()])
+        self.shown = [_shown(p, kind) for p, _, kind in m.pieces]
         self.cuttable = not user and not any(MARK in p.lstrip(MARK) for p, _, kind in m.pieces if kind == NORMAL)
         self.dtype = np.dtype("<u2" if len(m.pieces) <= 1 << 16 else "<u4")
 
@@ -188,14 +189,8 @@ class Worker:
         return [a == b for a, b in zip(own, theirs, strict=True)]
 
 
-_WORKERS: dict[int, Worker] = {}
-
-
 def worker(data: bytes) -> Worker:
-    key = zlib.crc32(data) << 32 | len(data)
-    if key not in _WORKERS:
-        _WORKERS[key] = Worker(data)
-    return _WORKERS[key]
+    return held(("sentencepiece", zlib.crc32(data) << 32 | len(data)), lambda: Worker(data))
 
 
 def encode(docs: DataFrame, model_file: str, text: str = "text") -> DataFrame:
@@ -234,15 +229,9 @@ def encode(docs: DataFrame, model_file: str, text: str = "text") -> DataFrame:
     return docs.select(as_row(docs)).mapInArrow(run, row_schema(docs, "token_ids binary, n_tokens long, decoded string, parity boolean"))
 
 
-_TABLES: dict[int, list[str]] = {}
-
-
 def decode_texts(backend: Backend, ids: list[bytes]) -> list[str]:
     """Texts of id arrays: pieces joined, runs of byte pieces read as UTF-8."""
-    key = id(backend)
-    if key not in _TABLES:
-        _TABLES[key] = [_shown(p, kind) for p, _, kind in backend.model.pieces]
-    shown = _TABLES[key]
+    shown = backend.shown
     out = []
     for raw in ids:
         text = "".join(map(shown.__getitem__, np.frombuffer(raw, backend.dtype).tolist()))
