@@ -278,14 +278,14 @@ def test_shuffle_files_go_with_the_write(spark):
     before = files()
     conf = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     was = spark.conf.get(conf, None)
-    assert materialise(spark.range(1000).repartition(3, "id"), "freed", free=True).count() == 1000
+    freed = materialise(spark.range(1000).repartition(3, "id"), "freed", free=True)
     for _ in range(50):
         if not [f for f in files() - before if f.endswith(".data")]:
             break
         time.sleep(0.2)
     else:
         raise AssertionError("shuffle files stay")
-    assert spark.conf.get(conf, None) == was
+    assert freed.count() == 1000 and spark.conf.get(conf, None) == was
 
 
 def test_a_worker_keeps_one_thing():
