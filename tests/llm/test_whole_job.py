@@ -270,6 +270,22 @@ def test_spare_keys_are_those_that_most_sets_share(spark):
     assert sorted(map(tuple, ngram_jaccard.needed(shared).collect())) == [(3, 0, 2), (3, 1, 2), (4, 0, 2), (4, 1, 2)]
 
 
+def test_a_pair_is_not_proposed_under_every_key_it_shares(spark, monkeypatch):
+    """60 sets in components of their own, each with 30 of 40 keys, and another 60 with keys that only two share."""
+    rng = random.Random(8)
+    scheme = ngram_jaccard.Scheme(8, 10)
+    held = {n: rng.sample(range(-20, 20), 30) for n in range(60)} | {n: [1000 + n // 2 * 50 + i for i in range(rng.choice([1, 30]))] for n in range(60, 120)}
+    odd = {n: [rng.getrandbits(3) for _ in range(ngram_jaccard.PARITY // 64)] for n in held}
+    rows = spark.createDataFrame([(k, n, 100 + n % 7, odd[n], n // 3) for n, keys in held.items() for k in keys], "key long, node long, size long, parity array<long>, comp long")
+    apart = lambda a, b: sum((x ^ y).bit_count() for x, y in zip(odd[a], odd[b], strict=True))
+    want = {(a, b) for a, b in itertools.combinations(held, 2) if a // 3 != b // 3 and set(held[a]) & set(held[b]) and apart(a, b) <= scheme.differ(100 + a % 7, 100 + b % 7)}
+    pairs = ngram_jaccard.near_pairs(rows, scheme, nearest=False)
+    assert sorted(map(tuple, pairs.collect())) == sorted(want)
+    monkeypatch.setattr(type(rows), "distinct", lambda df: df)
+    made = ngram_jaccard.near_pairs(rows, scheme, nearest=False).collect()
+    assert set(map(tuple, made)) == want and len(made) < 1.1 * len(want)
+
+
 def test_shuffle_files_go_with_the_write(spark):
     import time
 

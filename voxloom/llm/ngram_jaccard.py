@@ -24,7 +24,8 @@ tokens in each of ``PARITY`` slots differs between two sets in at most as many s
 Keys with up to ``FEW`` sets propose all their pairs. Keys with more have a pivot, the set that shares most such
 keys; all others are paired with it. Keys with up to ``CLOSE`` sets then propose, of each set, the nearest one by
 parities in another component (within ``CHUNK`` sets), and at last, when these links are known, all pairs of sets in different components
-whose parities allow a link. A cluster of near copies is one component by then.
+whose parities allow a link. A cluster of near copies is one component by then. Sets that share many keys would come out
+under each of them: every row holds the ``LEAST`` least keys of its set, and a pair is left to a lesser key that both hold.
 
 Keys with more than ``CLOSE`` sets are hot. All their sets are compared with the pivot, and what is left is found
 among differences. For sets x and y with differences dx and dy from their pivot, the distance of x and y is that of
@@ -74,6 +75,8 @@ LEVELS = 6
 CLOSE = 4096
 #: Sets among which the nearest is looked for.
 CHUNK = 1024
+#: Least keys of a set that its rows hold.
+LEAST = 16
 #: Slots of a set's parities; a multiple of 64.
 PARITY = 512
 #: Stands for a null id where texts are fetched.
@@ -288,11 +291,30 @@ def close_pairs(hot: DataFrame, scheme: Scheme) -> DataFrame:
     return found.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
+def least_keys(rows: DataFrame) -> DataFrame:
+    """(node, least): the LEAST least keys of each set, filled up with the largest long."""
+    rank = F.row_number().over(W.partitionBy("node").orderBy("key"))
+    some = rows.select("node", "key").withColumn("rank", rank).where(F.col("rank") <= LEAST)
+    filled = F.concat(F.collect_list("key"), F.array_repeat(F.lit((1 << 63) - 1), LEAST))  # at most LEAST each
+    return some.groupBy("node").agg(F.slice(filled, 1, LEAST).alias("least"))
+
+
+def _met(x: np.ndarray, y: np.ndarray, key: int) -> np.ndarray:
+    """Whether the least keys of two sets, row by row, have one under ``key`` in common."""
+    out = np.zeros(len(x), bool)
+    for i in range(x.shape[1]):
+        out |= (x[:, i] < key) & (y == x[:, i, None]).any(1)
+    return out
+
+
 def near_pairs(rows: DataFrame, scheme: Scheme, nearest: bool) -> DataFrame:
     """(a, b), a < b, of sets of each key (of at most CLOSE) that are in different components and whose parities
-    allow a link: for each set the nearest one, or all. rows: (key, node, size, parity, comp)."""
+    allow a link: for each set the nearest one, or all. rows: (key, node, size, parity, comp), each (key, node) once.
+
+    Of all, a key leaves out the pairs that are known to meet under a lesser key; the least key of a pair never does.
+    """
 
-    def pairs(node: np.ndarray, size: np.ndarray, odd: np.ndarray, comp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def pairs(key: int, node: np.ndarray, size: np.ndarray, comp: np.ndarray, odd: np.ndarray, least: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for i in range(0, len(node), 64):
             part = slice(i, i + 64)
             apart = np.zeros((len(node[part]), len(node)), np.int32)
@@ -307,6 +329,9 @@ def near_pairs(rows: DataFrame, scheme: Scheme, nearest: bool) -> DataFrame:
                 x, y = np.nonzero(may)
                 x = x + i
                 x, y = x[x < y], y[x < y]
+                if len(x):
+                    new = np.concatenate([~_met(least[x[j : j + 8192]], least[y[j : j + 8192]], key) for j in range(0, len(x), 8192)])
+                    x, y = x[new], y[new]
             yield np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,21 +342,26 @@ def near_pairs(rows: DataFrame, scheme: Scheme, nearest: bool) -> DataFrame:
             else:
                 odd = pc.list_flatten(batch.column("parity")).to_numpy().view(U).reshape(-1, PARITY // 64)
                 now = [*(batch.column(c).to_numpy() for c in ("key", "node", "size", "comp")), odd]
+                if not nearest:
+                    now.append(pc.list_flatten(batch.column("least")).to_numpy().reshape(-1, LEAST))
                 now = now if held is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
                 cut = int(np.searchsorted(now[0], now[0][-1])) if len(now[0]) else 0  # the last key may go on
                 held = [x[cut:] for x in now]
             if not cut:
                 continue
-            key, node, size, comp, odd = (x[:cut] for x in now)
+            key, node, size, comp, odd, *least = (x[:cut] for x in now)
             bounds = np.append(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])), cut)
             found = [np.zeros((2, 0), np.int64)]
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 if (comp[a:b] != comp[a]).any():
-                    found += pairs(node[a:b], size[a:b], odd[a:b], comp[a:b])
+                    found += pairs(key[a], node[a:b], size[a:b], comp[a:b], odd[a:b], *(x[a:b] for x in least))
             x, y = np.unique(np.concatenate([np.vstack(f) for f in found], 1), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
 
-    dealt = rows.select("key", "node", "size", "parity", "comp").repartition(shuffle_partitions(rows.sparkSession), "key").sortWithinPartitions("key")
+    wanted = ["key", "node", "size", "parity", "comp"]
+    if not nearest:
+        rows, wanted = rows.join(least_keys(rows), "node"), [*wanted, "least"]
+    dealt = rows.select(*wanted).repartition(shuffle_partitions(rows.sparkSession), "key").sortWithinPartitions("key")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
