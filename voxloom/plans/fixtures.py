@@ -25,7 +25,7 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     heard = F.replace(F.replace("text", F.lit(" the "), F.lit(" ")), F.lit("er"), F.lit("ar"))
 
     def texts(rows: DataFrame, text) -> DataFrame:
-        return rows.select(_hash("doc_id").alias("audio_md5_hash"), text.alias("text"), (F.length(text) / F.col("value")).alias("cps"))
+        return rows.select(_hash("doc_id").alias("audio_md5_hash"), text.alias("text"), text_metrics.cps(text, F.col("value")).alias("cps"))
 
     # Every document was recognised; those with labels have an original text.
     original, recognised = texts(timed.join(table(spark, sf_dir, "labels"), "doc_id", "left_semi"), F.col("text")), texts(timed, heard)
