@@ -30,6 +30,7 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     # Every document was recognised; those with labels have an original text.
     original, recognised = texts(timed.join(table(spark, sf_dir, "labels"), "doc_id", "left_semi"), F.col("text")), texts(timed, heard)
     pairs = original.select("audio_md5_hash", F.col("text").alias("r")).join(recognised.select("audio_md5_hash", F.col("text").alias("h")), "audio_md5_hash")
+    with_words = pairs.where((F.size(text_metrics.words(F.col("r"))) > 0) & F.col("h").isNotNull())  # where WER isn't null, told without computing it
     return {
         "audio_to_dataset": events.select(
             e.alias("id"), _hash("event_id").alias("audio_md5_hash"), F.when(e % 10 < 7, "ds_main").otherwise("ds_aux").alias("dataset_name"),
@@ -43,7 +44,7 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         ),
         "audio_to_original_text": original,
         "audio_to_asr_text": recognised,
-        "text_comparation_metrics": pairs.select("audio_md5_hash", text_metrics.wer(F.col("r"), F.col("h")).alias("WER"), text_metrics.cer(F.col("r"), F.col("h")).alias("CER")).where("WER IS NOT NULL"),
+        "text_comparation_metrics": with_words.select("audio_md5_hash", text_metrics.wer(F.col("r"), F.col("h")).alias("WER"), text_metrics.cer(F.col("r"), F.col("h")).alias("CER")),
     }
 
 
